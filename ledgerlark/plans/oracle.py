@@ -264,7 +264,7 @@ _CORRECTED = """
 SELECT stock_symbol, "timestamp", CAST(CASE WHEN "timestamp" >= TIMESTAMP '2000-01-01' THEN close + 1 ELSE close END
        AS DOUBLE) AS close, volume FROM {table}
 UNION ALL
-SELECT stock_symbol, "timestamp" + INTERVAL 10 YEARS, CAST(close AS DOUBLE), volume FROM {table}
+SELECT stock_symbol, "timestamp" + INTERVAL 3652 DAYS, CAST(close AS DOUBLE), volume FROM {table}
 WHERE "timestamp" >= TIMESTAMP '2000-01-01'"""
 
 
@@ -399,7 +399,7 @@ ORACLE: dict[str, str] = {
         "last_close",
     ),
     "verified_totals": _sql(
-        f"""SELECT portfolio_id, round(c, 2) AS total_cost, v AS current_value, round(v - c, 2) AS pnl,
+        f"""SELECT portfolio_id, round(c, 2) AS total_cost, round(v, 2) AS current_value, round(v - c, 2) AS pnl,
         round(CASE WHEN c > 0 THEN (v - c) / c * 100 ELSE 0 END, 6) AS pnl_pct
         FROM (SELECT portfolio_id, sum(total_cost) AS c, sum(current_value) AS v FROM {_VERIFIED} GROUP BY portfolio_id)""",
         "weighted",
@@ -433,11 +433,12 @@ ORACLE: dict[str, str] = {
     ),
     "portfolio_metrics": _sql(
         f"""SELECT v.portfolio_id, TIMESTAMP '2002-01-01' AS calculation_date, total_value, total_cost,
-        round(COALESCE(realized, 0), 0) AS realized_gains, total_value - total_cost AS unrealized_gains,
-        CASE WHEN total_cost > 0 THEN (total_value - total_cost) / total_cost * 100 ELSE 0 END AS total_return_pct,
+        round(COALESCE(realized, 0), 0) AS realized_gains, unrealized_gains,
+        CASE WHEN total_cost > 0 THEN unrealized_gains / total_cost * 100 ELSE 0 END AS total_return_pct,
         volatility, sharpe_ratio, max_drawdown AS max_drawdown_pct
         FROM (SELECT f.portfolio_id, CAST(COALESCE(sum(value), 0) AS DOUBLE) AS total_value,
-                     CAST(COALESCE(sum(cost), 0) AS DOUBLE) AS total_cost
+                     CAST(COALESCE(sum(cost), 0) AS DOUBLE) AS total_cost,
+                     CAST(COALESCE(sum(value - cost), 0) AS DOUBLE) AS unrealized_gains
               FROM portfolios f LEFT JOIN positions p ON f.portfolio_id = p.portfolio_id GROUP BY f.portfolio_id) v
         LEFT JOIN ({_risk('TRUE', False)}) r ON v.portfolio_id = r.portfolio_id
         LEFT JOIN (SELECT portfolio_id, sum(realized_gain) AS realized FROM weighted_all GROUP BY portfolio_id) g
@@ -653,7 +654,7 @@ ORACLE: dict[str, str] = {
                TIMESTAMP '2024-03-01' FROM brands WHERE n % 2 = 1
         UNION ALL
         SELECT upper(ticker), upper(ticker), COALESCE({_by_suffix(_CODES, 'NULL')}, ''), '', {_by_suffix(_COUNTRIES, 'NULL')},
-               {_by_suffix(_CURRENCIES, "'USD'")}, 1, {_by_suffix(range(1, 5), 'NULL')}, NULL, TIMESTAMP '2024-03-01'
+               {_by_suffix(_CURRENCIES, "'USD'")}, 1, CAST({_by_suffix(range(1, 5), 'NULL')} AS INTEGER), NULL, TIMESTAMP '2024-03-01'
         FROM (SELECT DISTINCT ticker FROM tickers)""",
         "stocks",
         "brands",

@@ -209,7 +209,7 @@ def verify_holdings(spark, sf):
 @query
 def verified_totals(spark, sf):
     verified = valuation.verify_holdings(_weighted(spark, sf), data.stock_prices(spark, sf))
-    return rounded(valuation.verified_totals(verified), total_cost=2, pnl=2, pnl_pct=6)
+    return rounded(valuation.verified_totals(verified), total_cost=2, current_value=2, pnl=2, pnl_pct=6)
 
 
 @query
@@ -607,11 +607,11 @@ def dq_watchlist(spark, sf):
 
 
 def _corrections(prices: DataFrame) -> DataFrame:
-    """Prices from MID on sent twice, the second time one higher, and once more ten years on."""
+    """Prices from MID on sent twice, the second time one higher, and once more 3652 days on."""
     recent = filter_range(prices, "timestamp", start=MID)
     stamp = F.col("ingestion_timestamp")
     again = recent.withColumns({"close": F.col("close") + 1, "ingestion_timestamp": stamp + F.expr("INTERVAL 1 DAY")})
-    later = recent.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 10 YEARS"))
+    later = recent.withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 3652 DAYS"))
     return recent.unionByName(again).unionByName(later)
 
 

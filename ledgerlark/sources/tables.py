@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlark.operators.upsert import absent_rows, merge_latest, newest_per_key
+from ledgerlark.operators.upsert import absent_rows, merge_latest
 from ledgerlark.schemas import TABLES, TableSpec, conform
 
 DAY = "day"
@@ -44,18 +44,16 @@ class LakeTable:
         fields = [T.StructField(f.name, f.dataType, True) for f in self.spec.schema.fields]
         return T.StructType(fields + ([T.StructField(DAY, T.DateType(), True)] if self.spec.day_of else []))
 
-    def _laid_out(self, df: DataFrame) -> DataFrame:
-        out = conform(df, self.spec.schema)
-        if self.spec.day_of is None:
-            return out
-        out = out.withColumn(DAY, F.to_date(self.spec.day_of))
-        return out.hint("rebalance", DAY).sortWithinPartitions(DAY, *self.spec.key)
-
     def _write(self, df: DataFrame, mode: str, only_days_written: bool = False) -> int:
-        """Write and return the number of rows written, counted on the way."""
+        """Write and return the number of rows written, without those marked as not new."""
+        schema = T.StructType(self.spec.schema.fields + [T.StructField("_new", T.BooleanType(), True)])
+        out = conform(df, schema)
+        if self.spec.day_of is not None:
+            out = out.withColumn(DAY, F.to_date(self.spec.day_of))
+            out = out.hint("rebalance", DAY).sortWithinPartitions(DAY, *self.spec.key)
         counted = Observation()
-        laid_out = self._laid_out(df).observe(counted, F.count(F.lit(1)).alias("rows"))
-        writer = laid_out.write.mode(mode)
+        fresh = F.count_if(F.coalesce("_new", F.lit(True))).alias("rows")
+        writer = out.observe(counted, fresh).drop("_new").write.mode(mode)
         if self.spec.day_of is not None:
             writer = writer.partitionBy(DAY)
             writer = writer.option("partitionOverwriteMode", "dynamic" if only_days_written else "static")
@@ -105,18 +103,17 @@ class LakeTable:
     def upsert(self, spark: SparkSession, batch: DataFrame, order: str | None = None) -> int:
         """Last write wins per key. Only the days concerned are read and rewritten; replaying a batch
         changes nothing. Returns the number of keys in the batch."""
-        key = self.spec.key
         rows = conform(batch, self.spec.schema)
+        old, new = F.lit(False).alias("_new"), F.lit(True).alias("_new")
         if self.spec.day_of is None:
-            self._swap(spark, merge_latest(self.read(spark), rows, key, order))
-        else:
-            near = self._rows_near(spark, rows)
-            merged = merge_latest(near.drop(DAY), rows, key, order)
-            if self.spec.day_of in key:
-                self._write(merged, "overwrite", only_days_written=True)
-            else:
-                self._rewrite(spark, near, merged)
-        return newest_per_key(rows.select(*key), key).count()
+            stored = self.read(spark).select("*", old)
+            return self._swap(spark, merge_latest(stored, rows.select("*", new), self.spec.key, order))
+        near = self._rows_near(spark, rows)
+        stored = near.drop(DAY).select("*", old)
+        merged = merge_latest(stored, rows.select("*", new), self.spec.key, order)
+        if self.spec.day_of in self.spec.key:
+            return self._write(merged, "overwrite", only_days_written=True)
+        return self._rewrite(spark, near, merged)
 
     def insert_absent(self, spark: SparkSession, batch: DataFrame, order: str | None = None) -> int:
         """Append the rows whose key is new; returns how many."""
@@ -135,13 +132,14 @@ class LakeTable:
         near = existing.join(F.broadcast(days), DAY, "left_semi")
         self._rewrite(spark, near, near.drop(DAY).join(keys.select(*key), key, "left_anti"))
 
-    def _swap(self, spark: SparkSession, df: DataFrame) -> None:
+    def _swap(self, spark: SparkSession, df: DataFrame) -> int:
         """Rewrite an unpartitioned table that ``df`` reads: write beside it, then exchange the folders."""
         fresh = LakeTable(self.spec, f"{self.path}.next")
-        fresh.replace(df)
+        written = fresh.replace(df)
         target, files = _folder(spark, self.path)
         files.delete(target, True)
         files.rename(_folder(spark, fresh.path)[0], target)
+        return written
 
     def verify_count(self, spark: SparkSession, written: int) -> bool:
         """Whether the table holds exactly the rows a full refresh wrote."""
