@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlark.operators.upsert import absent_rows, merge_latest
+from ledgerlark.operators.upsert import absent_rows, newest_per_key
 from ledgerlark.schemas import TABLES, TableSpec, conform
 
 DAY = "day"
@@ -79,41 +82,54 @@ class LakeTable:
     def append(self, df: DataFrame) -> int:
         return self._write(df, "append")
 
-    def _rows_near(self, spark: SparkSession, batch: DataFrame) -> DataFrame:
-        """Existing rows in the days of the batch. Where the key lacks the time column, also those in
-        the days that hold the batch's keys. The list of days is as short as the calendar, so
-        broadcasting it is safe and lets the scan prune partitions."""
-        existing = self.read(spark)
-        days = batch.select(F.to_date(self.spec.day_of).alias(DAY))
-        if self.spec.day_of not in self.spec.key:
-            days = days.unionByName(existing.join(batch.select(*self.spec.key), list(self.spec.key), "left_semi").select(DAY))
-        return existing.join(F.broadcast(days.distinct()), DAY, "left_semi")
-
-    def _rewrite(self, spark: SparkSession, near: DataFrame, merged: DataFrame) -> int:
-        """Replace the days of ``near`` by ``merged``; days left without rows are dropped after the write."""
-        emptied = near.select(DAY).distinct().join(
-            merged.select(F.to_date(self.spec.day_of).alias(DAY)), DAY, "left_anti"
-        )
+    @contextmanager
+    def _staged(self, spark: SparkSession, rows: DataFrame) -> Iterator[DataFrame]:
+        """``rows`` written beside the table and read back: the source is computed once, however often
+        a merge looks at the batch, and the merge survives lost executors without computing it again."""
+        folder = f"{self.path}.staged-{uuid.uuid4().hex}"
+        rows.write.parquet(folder)
+        try:
+            yield spark.read.schema(rows.schema).parquet(folder)
+        finally:
+            drop_folder(spark, folder)
+
+    def _replace_days(self, spark: SparkSession, near: DataFrame, merged: DataFrame) -> int:
+        """Replace the days of ``near`` by ``merged``. Days left without rows are dropped after the
+        write; their names are all that reaches the driver."""
+        left = merged.select(F.to_date(self.spec.day_of).alias(DAY))
+        emptied = near.select(DAY).distinct().join(left, DAY, "left_anti")
         gone = [row[DAY].isoformat() for row in emptied.collect()]
         written = self._write(merged, "overwrite", only_days_written=True)
         for day in gone:
             drop_folder(spark, f"{self.path}/{DAY}={day}")
         return written
 
+    def _near(self, existing: DataFrame, days: DataFrame) -> DataFrame:
+        """Existing rows of some days. The list of days is as short as the calendar, so broadcasting
+        it is safe and lets the scan skip the other partitions."""
+        return existing.join(F.broadcast(days.distinct()), DAY, "left_semi")
+
     def upsert(self, spark: SparkSession, batch: DataFrame, order: str | None = None) -> int:
-        """Last write wins per key. Only the days concerned are read and rewritten; replaying a batch
-        changes nothing. Returns the number of keys in the batch."""
-        rows = conform(batch, self.spec.schema)
-        old, new = F.lit(False).alias("_new"), F.lit(True).alias("_new")
-        if self.spec.day_of is None:
-            stored = self.read(spark).select("*", old)
-            return self._swap(spark, merge_latest(stored, rows.select("*", new), self.spec.key, order))
-        near = self._rows_near(spark, rows)
-        stored = near.drop(DAY).select("*", old)
-        merged = merge_latest(stored, rows.select("*", new), self.spec.key, order)
-        if self.spec.day_of in self.spec.key:
-            return self._write(merged, "overwrite", only_days_written=True)
-        return self._rewrite(spark, near, merged)
+        """Last write wins per key. Only the days concerned are rewritten; replaying a batch changes
+        nothing. Returns the number of keys in the batch."""
+        key = list(self.spec.key)
+        with self._staged(spark, newest_per_key(conform(batch, self.spec.schema), key, order)) as newest:
+            existing = self.read(spark)
+            new = newest.withColumn("_new", F.lit(True))
+
+            def merged(stored: DataFrame) -> DataFrame:
+                kept = stored.drop(DAY).join(newest.select(*key), key, "left_anti")
+                return kept.withColumn("_new", F.lit(False)).unionByName(new)
+
+            if self.spec.day_of is None:
+                return self._swap(spark, merged(existing))
+            days = newest.select(F.to_date(self.spec.day_of).alias(DAY))
+            if self.spec.day_of in key:
+                return self._write(merged(self._near(existing, days)), "overwrite", only_days_written=True)
+            # The key says nothing about the day, so a row may have moved: its old day counts too.
+            held = existing.join(newest.select(*key), key, "left_semi").select(DAY)
+            near = self._near(existing, days.unionByName(held))
+            return self._replace_days(spark, near, merged(near))
 
     def insert_absent(self, spark: SparkSession, batch: DataFrame, order: str | None = None) -> int:
         """Append the rows whose key is new; returns how many."""
@@ -124,13 +140,13 @@ class LakeTable:
     def delete(self, spark: SparkSession, keys: DataFrame) -> None:
         """Remove the rows of ``keys``, which holds the key columns."""
         key = list(self.spec.key)
-        existing = self.read(spark)
-        if self.spec.day_of is None:
-            self._swap(spark, existing.join(keys, key, "left_anti"))
-            return
-        days = existing.join(keys.select(*key), key, "left_semi").select(DAY).distinct()
-        near = existing.join(F.broadcast(days), DAY, "left_semi")
-        self._rewrite(spark, near, near.drop(DAY).join(keys.select(*key), key, "left_anti"))
+        with self._staged(spark, keys.select(*key).distinct()) as gone:
+            existing = self.read(spark)
+            if self.spec.day_of is None:
+                self._swap(spark, existing.join(gone, key, "left_anti"))
+                return
+            near = self._near(existing, existing.join(gone, key, "left_semi").select(DAY))
+            self._replace_days(spark, near, near.drop(DAY).join(gone, key, "left_anti"))
 
     def _swap(self, spark: SparkSession, df: DataFrame) -> int:
         """Rewrite an unpartitioned table that ``df`` reads: write beside it, then exchange the folders."""
