@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlark.functions.money import pct, ratio
 from ledgerlark.functions.predicates import in_range
@@ -71,28 +72,30 @@ def portfolio_returns(
 
 
 def holdings_report(holdings: DataFrame, prices: DataFrame) -> DataFrame:
-    """Profit and loss per position, rounded to 2 places as printed."""
-    quantity, price, average = (
-        F.col("total_quantity").cast("double"),
-        F.col("current_price").cast("double"),
-        F.col("average_cost"),
-    )
+    """Profit and loss per position, rounded to 2 places as printed.
+
+    Quotients stay DECIMAL until they are rounded, so that halves round up as in exact arithmetic.
+    Gain is value - cost, which is (price - average) * quantity without a quotient in between.
+    """
+    exact = T.DecimalType(28, 6)
+    quantity, cost = F.col("total_quantity").cast(exact), F.col("total_cost").cast(exact)
+    value = (F.col("total_quantity") * F.col("current_price")).cast(exact)
     return holdings.join(latest_prices(prices), "stock_symbol").select(
         "portfolio_id",
         F.col("stock_symbol").alias("symbol"),
         F.col("total_quantity").alias("quantity"),
-        F.round(average, 2).alias("avg_cost"),
-        F.round(price, 2).alias("current_price"),
-        F.round(F.col("total_quantity") * F.col("current_price"), 2).alias("market_value"),
-        F.round((price - average) * quantity, 2).alias("unrealized_pnl"),
-        F.round((ratio(price, average) - 1) * 100, 2).alias("pnl_pct"),
+        F.round(F.try_divide(cost, quantity), 2).alias("avg_cost"),
+        F.round("current_price", 2).alias("current_price"),
+        F.round(value, 2).alias("market_value"),
+        F.round(value - cost, 2).alias("unrealized_pnl"),
+        F.round(F.try_divide(((value - cost) * 100).cast(exact), cost), 2).alias("pnl_pct"),
     )
 
 
 def report_with_totals(report: DataFrame) -> DataFrame:
     """Report rows plus a TOTAL row per portfolio; its cost sums rounded average cost * quantity."""
     cost = F.col("avg_cost").cast("decimal(20,2)") * F.col("quantity")
-    value = F.col("market_value").cast("decimal(30,2)")
+    value = F.col("market_value")
     is_total = F.grouping("symbol") == 1
     return (
         report.withColumn("_cost", cost)

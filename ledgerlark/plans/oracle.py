@@ -242,13 +242,21 @@ _SNAPSHOT = """
              WHERE rn <= 30)
        GROUP BY stock_symbol HAVING count(*) >= 14))"""
 
-_REPORT = """
-SELECT portfolio_id, symbol, CAST(q AS DOUBLE) AS quantity, round(avg_cost, 2) AS avg_cost,
-       CAST(close AS DOUBLE) AS current_price, CAST(CAST(q AS DECIMAL(15,0)) * close AS DOUBLE) AS market_value,
-       round((CAST(close AS DOUBLE) - avg_cost) * CAST(q AS DOUBLE), 2) AS unrealized_pnl,
-       round((CAST(close AS DOUBLE) / avg_cost - 1) * 100, 2) AS pnl_pct
-FROM (SELECT portfolio_id, stock_symbol AS symbol, q, close, CAST(cost AS DOUBLE) / CAST(q AS DOUBLE) AS avg_cost
-      FROM positions)"""
+def _half_up(numerator: str, denominator: str) -> str:
+    """Quotient of integers rounded to an integer, halves away from zero."""
+    return (
+        f"sign({numerator}) * sign({denominator}) * ((2 * abs({numerator}) + abs({denominator})) "
+        f"// (2 * abs({denominator})))"
+    )
+
+
+_REPORT = f"""
+SELECT portfolio_id, symbol, CAST(q AS DOUBLE) AS quantity,
+       CAST({_half_up('cost_cents', 'units')} AS DOUBLE) / 100 AS avg_cost, CAST(close AS DOUBLE) AS current_price,
+       CAST(value_cents AS DOUBLE) / 100 AS market_value, CAST(value_cents - cost_cents AS DOUBLE) / 100 AS unrealized_pnl,
+       CAST({_half_up('(10000 * (value_cents - cost_cents))', 'cost_cents')} AS DOUBLE) / 100 AS pnl_pct
+FROM (SELECT portfolio_id, stock_symbol AS symbol, q, close, CAST(q AS HUGEINT) AS units,
+             CAST(cost * 100 AS HUGEINT) AS cost_cents, CAST(value * 100 AS HUGEINT) AS value_cents FROM positions)"""
 
 _VERIFIED = """
 (SELECT portfolio_id, w.stock_symbol, quantity, average_cost, CAST(close AS DOUBLE) AS current_price,

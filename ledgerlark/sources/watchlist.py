@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,8 +31,9 @@ def read_watchlist(spark: SparkSession, path: str) -> DataFrame:
     if path.endswith((".yaml", ".yml")):
         import yaml
 
-        text = "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
-        return spark.createDataFrame([yaml.safe_load(text)], WATCHLIST)
+        # By way of JSON text, since a Python mapping would not keep its order as a Spark map.
+        text = json.dumps(yaml.safe_load(spark.read.text(path, wholetext=True).first().value))
+        return spark.range(1).select(F.from_json(F.lit(text), WATCHLIST).alias("w")).select("w.*")
     return spark.read.schema(WATCHLIST).json(path, multiLine=True)
 
 
