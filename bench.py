@@ -21,7 +21,7 @@ from ledgerlark.plans.queries import QUERIES  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 HEADLINE = """
 current_holdings position_values portfolio_value portfolio_returns risk_metrics daily_returns tick_returns
 latest_prices latest_fx sector_allocation region_allocation weighted_holdings verify_holdings holdings_report

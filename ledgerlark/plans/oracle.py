@@ -195,8 +195,8 @@ def _indicators(table: str, zero_loss: str = "NULL") -> str:
 
 _ALL_INDICATORS = """
 SELECT stock_symbol, "timestamp", sma_20, sma_50, sma_200, ema_12, ema_26, rsi_14, macd,
-       round(macd_signal, 4) AS macd_signal, round(sma_20 + 2 * spread, 4) AS bollinger_upper,
-       round(sma_20 - 2 * spread, 4) AS bollinger_lower FROM {source}"""
+       round(macd_signal, 4) AS macd_signal, round(sma_20 + 2 * spread, 3) AS bollinger_upper,
+       round(sma_20 - 2 * spread, 3) AS bollinger_lower FROM {source}"""
 
 _BARS = """
 SELECT date_trunc('day', "timestamp") AS bucket, stock_symbol, CAST(arg_min(close, "timestamp") AS DOUBLE) AS open,
@@ -208,7 +208,7 @@ FROM ticks GROUP BY ALL"""
 def _returns(table: str) -> str:
     return f"""
 SELECT stock_symbol, "timestamp", CAST(close AS DOUBLE) AS close, CAST(prev AS DOUBLE) AS prev_close,
-       CAST(close - prev AS DOUBLE) / CAST(prev AS DOUBLE) AS daily_return
+       CASE WHEN prev <> 0 THEN CAST(close - prev AS DOUBLE) / CAST(prev AS DOUBLE) END AS daily_return
 FROM (SELECT *, lag(close) OVER ({_BY}) AS prev FROM {table}) WHERE prev IS NOT NULL"""
 
 
@@ -265,8 +265,7 @@ _VERIFIED = """
  FROM weighted w JOIN last_close p ON w.stock_symbol = p.stock_symbol)"""
 
 _WEIGHTED = """
-SELECT portfolio_id, stock_symbol, quantity, round(average_cost, 6) AS average_cost,
-       round(realized_gain, 2) AS realized_gain FROM weighted"""
+SELECT portfolio_id, stock_symbol, quantity, round(average_cost, 6) AS average_cost FROM weighted"""
 
 _CORRECTED = """
 SELECT stock_symbol, "timestamp", CAST(CASE WHEN "timestamp" >= TIMESTAMP '2000-01-01' THEN close + 1 ELSE close END
@@ -473,7 +472,7 @@ ORACLE: dict[str, str] = {
     ),
     "bollinger": _sql(
         f"""SELECT stock_symbol, "timestamp", CAST(close AS DOUBLE) AS close,
-        round(sma_20 + 2 * spread, 4) AS bollinger_upper, round(sma_20 - 2 * spread, 4) AS bollinger_lower
+        round(sma_20 + 2 * spread, 3) AS bollinger_upper, round(sma_20 - 2 * spread, 3) AS bollinger_lower
         FROM {_indicators('stock_prices')}""",
         "stock_prices",
     ),

@@ -197,7 +197,7 @@ def securities_view(spark, sf):
 
 @query
 def weighted_holdings(spark, sf):
-    return rounded(_weighted(spark, sf).drop("last_updated"), average_cost=6, realized_gain=2)
+    return rounded(_weighted(spark, sf).drop("realized_gain", "last_updated"), average_cost=6)
 
 
 @query
@@ -271,7 +271,7 @@ def rsi(spark, sf):
 @query
 def bollinger(spark, sf):
     out = indicators.bollinger_bands(_closes(spark, sf), series=DAILY_BARS)
-    return rounded(out, bollinger_upper=4, bollinger_lower=4)
+    return rounded(out, bollinger_upper=3, bollinger_lower=3)
 
 
 @query
@@ -282,14 +282,14 @@ def macd(spark, sf):
 @query
 def all_indicators(spark, sf):
     out = indicators.all_indicators(_closes(spark, sf), series=DAILY_BARS)
-    return rounded(out, macd_signal=4, bollinger_upper=4, bollinger_lower=4)
+    return rounded(out, macd_signal=4, bollinger_upper=3, bollinger_lower=3)
 
 
 @query
 def all_indicators_ticks(spark, sf):
     """The same over dense series cut into overlapping blocks."""
     out = indicators.all_indicators(_tick_closes(spark, sf), series=TICKS)
-    return rounded(out, macd_signal=4, bollinger_upper=4, bollinger_lower=4)
+    return rounded(out, macd_signal=4, bollinger_upper=3, bollinger_lower=3)
 
 
 @query
@@ -347,7 +347,7 @@ def stream_holdings_state(spark, sf):
     state = stream_holdings.PositionState(f"{root}/state")
     run = stream_holdings.maintain_holdings(trades, state, f"{root}/checkpoint")
     run.awaitTermination()
-    return rounded(state.latest(spark, run).drop("last_updated"), average_cost=6, realized_gain=2)
+    return rounded(state.latest(spark, run).drop("realized_gain", "last_updated"), average_cost=6)
 
 
 @query
