@@ -122,14 +122,16 @@ def equal_cash_purchases(prices: DataFrame, symbols: DataFrame, cash: float, day
     """
     wanted = prices.join(symbols.select("stock_symbol").distinct(), "stock_symbol", "left_semi")
     newest = latest_by(wanted, ["stock_symbol"], "timestamp", {"last_seen": "timestamp"})
-    # One-row scalar subqueries: the purchase date and the number of symbols sharing the cash.
+    # A one-row subquery: the purchase date and the number of symbols sharing the cash.
     back = F.expr(f"INTERVAL {int(days_back)} DAYS")
-    bought_at = newest.agg((F.max("last_seen") - back).alias("bought_at")).scalar()
-    names = newest.agg(F.count(F.lit(1)).alias("names")).scalar()
+    terms = newest.agg(
+        F.struct((F.max("last_seen") - back).alias("bought_at"), F.count(F.lit(1)).alias("names")).alias("terms")
+    ).scalar()
+    bought_at = terms["bought_at"]
     quotes = latest_by(
         wanted.where(F.col("timestamp") <= bought_at), ["stock_symbol"], "timestamp", {"price": "close"}
     )
-    budget = F.try_divide(F.lit(float(cash)), names)
+    budget = F.try_divide(F.lit(float(cash)), terms["names"])
     shares = F.floor(F.try_divide(budget, F.col("price").cast("double")))
     return (
         quotes.withColumn("quantity", shares)

@@ -136,3 +136,11 @@ def test_listing_activity_and_reconciliation(spark):
     assert [r.stock_symbol for r in listing] == sorted(EXPECTED)
     assert quality.reconcile_holdings(weighted, holdings.net_holdings(all_trades)).count() == 0
     assert [r.transaction_id for r in holdings.portfolio_transactions(all_trades, "p").take(5)][0].startswith("b")
+
+
+def test_trades_are_shuffled_once_for_both_passes(spark, tmp_path):
+    sample_trades(spark).write.parquet(str(tmp_path / "t"))
+    df = holdings.weighted_holdings(spark.read.parquet(str(tmp_path / "t")))
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and final.count("FileScan") == 1
