@@ -47,14 +47,24 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     return now.select(a.alias("node"), b.alias("component"))
 
 
-def clusters(spark: SparkSession, rows: DataFrame, confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def beside(df: DataFrame, small: DataFrame, on: str, rows: int, most: int = 1_000_000) -> DataFrame:
+    """``df`` joined with ``small``, which is broadcast if its counted rows are at most ``most`` and else shuffled."""
+    return df.join(F.broadcast(small) if rows <= most else small, on)
+
+
+def clusters(
+    spark: SparkSession, rows: DataFrame, confirm: Callable[[DataFrame], DataFrame], once: bool = False
+) -> DataFrame:
     """(node, component), as ``components``, of the nodes that share a key in ``rows`` (key, node) and are confirmed.
 
     ``confirm`` takes distinct candidate pairs (a, b) and returns those that are linked, written. First
     each node meets the smallest node of each key it has, so that a key with thousands of alike nodes costs
     a pair for each. Then, only in keys that still hold more than one component, nodes of different
     components meet. Every pair that shares a key is thus either joined or compared; none is capped.
+    ``once`` deals ``rows`` out by key a single time for counting and joining, where they are costly to make;
+    otherwise counting combines on the map side and adaptive execution may split the join.
     """
+    rows = rows.repartition("key") if once else rows
     shared = rows.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("c")).where("c > 1")
     members = written(spark, rows.join(shared.select("key", "leader"), "key"), "members")
     tried = members.where("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
