@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.scratch import scratch_dir
@@ -61,12 +61,17 @@ def clusters(
     each node meets the smallest node of each key it has, so that a key with thousands of alike nodes costs
     a pair for each. Then, only in keys that still hold more than one component, nodes of different
     components meet. Every pair that shares a key is thus either joined or compared; none is capped.
-    ``once`` deals ``rows`` out by key a single time for counting and joining, where they are costly to make;
-    otherwise counting combines on the map side and adaptive execution may split the join.
+    ``once`` deals ``rows`` out a single time and takes minima over windows, where rows are costly to make or
+    many; otherwise minima combine on the map side and adaptive execution may split the join with them.
     """
-    rows = rows.repartition("key") if once else rows
-    shared = rows.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("c")).where("c > 1")
-    members = written(spark, rows.join(shared.select("key", "leader"), "key"), "members")
+    if once:
+        same = Window.partitionBy("key")
+        ranged = rows.select("key", "node", F.min("node").over(same).alias("leader"), F.max("node").over(same).alias("last"))
+        shared = ranged.where("leader != last").drop("last")
+    else:
+        least = rows.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
+        shared = rows.join(least.where("leader != last").drop("last"), "key")
+    members = written(spark, shared, "members")
     tried = members.where("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     links = confirm(tried)
     joined = components(spark, links)
