@@ -58,20 +58,24 @@ def clusters(
     """(node, component), as ``components``, of the nodes that share a key in ``rows`` (key, node) and are confirmed.
 
     ``confirm`` takes distinct candidate pairs (a, b) and returns those that are linked, written. First
-    each node meets the smallest node of each key it has, so that a key with thousands of alike nodes costs
-    a pair for each. Then, only in keys that still hold more than one component, nodes of different
+    each node meets one leader in each key it has, the node that meets most others over all its keys: among
+    the copies of one original that is the original, or the copy closest to the rest. So a key with
+    thousands of alike nodes costs a pair for each. Then, only in keys that still hold more than one component, nodes of different
     components meet. Every pair that shares a key is thus either joined or compared; none is capped.
-    ``once`` deals ``rows`` out a single time and takes minima over windows, where rows are costly to make or
-    many; otherwise minima combine on the map side and adaptive execution may split the join with them.
+    ``once`` deals ``rows`` out a single time and counts over windows, where rows are costly to make or
+    many; otherwise counts combine on the map side and adaptive execution may split the join with them.
     """
     if once:
         same = Window.partitionBy("key")
-        ranged = rows.select("key", "node", F.min("node").over(same).alias("leader"), F.max("node").over(same).alias("last"))
-        shared = ranged.where("leader != last").drop("last")
+        counted = rows.select("key", "node", F.count("*").over(same).alias("met")).where("met > 1")
     else:
-        least = rows.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
-        shared = rows.join(least.where("leader != last").drop("last"), "key")
-    members = written(spark, shared, "members")
+        met = rows.groupBy("key").agg(F.count("*").alias("met")).where("met > 1")
+        counted = rows.join(met, "key")
+    counted = written(spark, counted, "members")
+    hubs = counted.groupBy("node").agg(F.sum("met").alias("hub"))
+    ranked = counted.select("key", "node").join(hubs, "node")
+    leaders = ranked.groupBy("key").agg(F.max_by("node", "hub").alias("leader"))
+    members = written(spark, counted.select("key", "node").join(leaders, "key"), "led")
     tried = members.where("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
     links = confirm(tried)
     joined = components(spark, links)
