@@ -8,13 +8,28 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlark.llm import language_id, line_dedup, mixing, near_dedup, packing, sharding
+from ledgerlark.llm import (
+    language_id,
+    license_scan,
+    line_dedup,
+    lm_scoring,
+    mixing,
+    near_dedup,
+    packing,
+    sharding,
+    text_search,
+    vector_search,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(spark, table(spark, sf_dir, "documents"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = language_id.held_out(F.col("doc_id"))
@@ -34,6 +49,14 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.search(spark, table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), *tokenizer_files())
 
@@ -42,6 +65,10 @@ def tokenizer_files() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op8_text_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_search.search(spark, table(spark, sf_dir, "documents"), F.col("doc_id") % 100 == 0)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.fuzzy_lines(spark, table(spark, sf_dir, "documents"))
 
@@ -95,6 +122,17 @@ LEFT JOIN bounds b ON s.source IS NOT DISTINCT FROM b.source
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_language_id, op3_near_dedup, op4_sharding, op7_packing, op9_line_dedup, op10_mixing)
+    for f in (
+        op1_lm_scoring,
+        op2_language_id,
+        op3_near_dedup,
+        op4_sharding,
+        op5_vector_search,
+        op6_license_scan,
+        op7_packing,
+        op8_text_search,
+        op9_line_dedup,
+        op10_mixing,
+    )
 }
 ORACLE: dict[str, str] = {"op10_mixing": OP10_SQL}
