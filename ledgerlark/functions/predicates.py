@@ -6,6 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def utc_day(at: Column) -> Column:
+    """The day of a timestamp in UTC, whatever the session's time zone: tables written under one zone are
+    pruned and merged alike under another."""
+    return F.to_date(F.to_utc_timestamp(at, F.current_timezone()))
+
+
 def in_range(column: str, start: str | None = None, end: str | None = None) -> Column:
     """Inclusive timestamp range; either bound may be absent.
 
@@ -25,7 +31,7 @@ def filter_range(df: DataFrame, column: str, start: str | None = None, end: str
     out = df.where(in_range(column, start, end))
     if "day" in df.columns:
         if start is not None:
-            out = out.where(F.col("day") >= F.to_date(F.lit(start).cast("timestamp")))
+            out = out.where(F.col("day") >= utc_day(F.lit(start).cast("timestamp")))
         if end is not None:
-            out = out.where(F.col("day") <= F.to_date(F.lit(end).cast("timestamp")))
+            out = out.where(F.col("day") <= utc_day(F.lit(end).cast("timestamp")))
     return out

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlark.functions.predicates import utc_day
+
 
 def bar_columns(open_: str = "open", high: str = "high", low: str = "low", close: str = "close") -> list[Column]:
     """First, highest, lowest, last and total by time. All buffers are fixed-width, so the rollup is a
@@ -38,12 +40,14 @@ def refresh_bars(
 ) -> DataFrame:
     """Bars to recompute at ``now``: buckets lying wholly within [now - start_offset, now - end_offset].
 
-    The same bounds on the raw rows reach the scan, so a refresh reads days, not the history.
+    The same bounds on the raw rows and on a table's days reach the scan: a refresh reads days, not the history.
     """
     at = F.lit(now).cast("timestamp")
     since, until = at - F.expr(f"INTERVAL {start_offset}"), at - F.expr(f"INTERVAL {end_offset}")
     bucket = F.col("bucket")
     recent = prices.where((F.col("timestamp") >= since) & (F.col("timestamp") < until))
+    if "day" in prices.columns:
+        recent = recent.where((F.col("day") >= utc_day(since)) & (F.col("day") <= utc_day(until)))
     return rollup_bars(recent, interval).where(
         (bucket >= since) & (bucket + F.expr(f"INTERVAL {interval}") <= until)
     )

@@ -557,7 +557,7 @@ ORACLE: dict[str, str] = {
     "coverage_summary": _sql(
         """SELECT b.stock_symbol, count("timestamp") AS price_count, min("timestamp") AS first_date,
         max("timestamp") AS last_date FROM brands b LEFT JOIN
-        (SELECT * FROM stock_prices WHERE "timestamp" >= TIMESTAMP '2000-01-01') p ON b.stock_symbol = p.stock_symbol
+        stock_prices p ON b.stock_symbol = p.stock_symbol
         GROUP BY b.stock_symbol""",
         "brands",
         "stock_prices",
@@ -745,9 +745,10 @@ ORACLE: dict[str, str] = {
         "SELECT stock_symbol, COALESCE(quote_currency, 'USD') AS quote_currency, gics_sector FROM securities", "securities"
     ),
     "dq_empty_feed": _sql(
-        """SELECT stock_symbol FROM securities WHERE stock_symbol NOT IN (
-        SELECT stock_symbol FROM stock_prices WHERE "timestamp" <= TIMESTAMP '1995-01-04' AND volume > 60)""",
+        """SELECT stock_symbol FROM (SELECT stock_symbol FROM securities UNION SELECT stock_symbol FROM ticks)
+        WHERE stock_symbol NOT IN (SELECT stock_symbol FROM stock_prices)""",
         "securities",
+        "ticks",
         "stock_prices",
     ),
     "dq_reconcile": _sql(

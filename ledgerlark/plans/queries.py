@@ -429,8 +429,7 @@ def price_summary(spark, sf):
 @query
 def coverage_summary(spark, sf):
     listed = data.stocks(spark, sf).select(F.col("symbol").alias("stock_symbol"))
-    since = filter_range(data.stock_prices(spark, sf), "timestamp", start=MID)
-    return reports.coverage_summary(listed, since)
+    return reports.coverage_summary(listed, data.stock_prices(spark, sf))
 
 
 @query
@@ -808,9 +807,10 @@ def dq_defaults(spark, sf):
 
 @query
 def dq_empty_feed(spark, sf):
+    """Of all symbols that are listed or ticked, those without a daily price."""
     listed = data.securities(spark, sf).select("stock_symbol")
-    early = filter_range(data.stock_prices(spark, sf), "timestamp", end="1995-01-04")
-    return quality.empty_feeds(listed, early.where(F.col("volume") > 60))
+    listed = listed.unionByName(data.tick_prices(spark, sf).select("stock_symbol"))
+    return quality.empty_feeds(listed, data.stock_prices(spark, sf))
 
 
 @query

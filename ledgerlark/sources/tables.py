@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlark.functions.predicates import utc_day
 from ledgerlark.operators.upsert import absent_rows, newest_per_key
 from ledgerlark.schemas import TABLES, TableSpec, conform
 
@@ -52,7 +53,7 @@ class LakeTable:
         schema = T.StructType(self.spec.schema.fields + [T.StructField("_new", T.BooleanType(), True)])
         out = conform(df, schema)
         if self.spec.day_of is not None:
-            out = out.withColumn(DAY, F.to_date(self.spec.day_of))
+            out = out.withColumn(DAY, utc_day(F.col(self.spec.day_of)))
             out = out.hint("rebalance", DAY).sortWithinPartitions(DAY, *self.spec.key)
         counted = Observation()
         fresh = F.count_if(F.coalesce("_new", F.lit(True))).alias("rows")
@@ -96,7 +97,7 @@ class LakeTable:
     def _replace_days(self, spark: SparkSession, near: DataFrame, merged: DataFrame) -> int:
         """Replace the days of ``near`` by ``merged``. Days left without rows are dropped after the
         write; their names are all that reaches the driver."""
-        left = merged.select(F.to_date(self.spec.day_of).alias(DAY))
+        left = merged.select(utc_day(F.col(self.spec.day_of)).alias(DAY))
         emptied = near.select(DAY).distinct().join(left, DAY, "left_anti")
         gone = [row[DAY].isoformat() for row in emptied.collect()]
         written = self._write(merged, "overwrite", only_days_written=True)
@@ -123,7 +124,7 @@ class LakeTable:
 
             if self.spec.day_of is None:
                 return self._swap(spark, merged(existing))
-            days = newest.select(F.to_date(self.spec.day_of).alias(DAY))
+            days = newest.select(utc_day(F.col(self.spec.day_of)).alias(DAY))
             if self.spec.day_of in key:
                 return self._write(merged(self._near(existing, days)), "overwrite", only_days_written=True)
             # The key says nothing about the day, so a row may have moved: its old day counts too.
@@ -133,9 +134,11 @@ class LakeTable:
 
     def insert_absent(self, spark: SparkSession, batch: DataFrame, order: str | None = None) -> int:
         """Append the rows whose key is new; returns how many."""
-        rows = conform(batch, self.spec.schema)
-        fresh = absent_rows(self.read(spark), rows, self.spec.key, order)
-        return self._write(fresh, "append")
+        with self._staged(spark, conform(batch, self.spec.schema)) as rows:
+            stored = self.read(spark)
+            if self.spec.day_of in self.spec.key:
+                stored = self._near(stored, rows.select(utc_day(F.col(self.spec.day_of)).alias(DAY)))
+            return self._write(absent_rows(stored, rows, self.spec.key, order), "append")
 
     def delete(self, spark: SparkSession, keys: DataFrame) -> None:
         """Remove the rows of ``keys``, which holds the key columns."""

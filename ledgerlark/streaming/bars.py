@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerlark.functions.predicates import utc_day
 from ledgerlark.operators.bars import rollup_bars
 from ledgerlark.schemas import MONEY, TableSpec
-from ledgerlark.sources.tables import LakeTable
-from ledgerlark.streaming.sinks import stream_upsert
+from ledgerlark.sources.tables import LakeTable, folder_exists
 
 LATENESS = "3 days"
 
@@ -41,11 +41,38 @@ def streaming_bars(prices: DataFrame, interval: str = "1 day", lateness: str = L
 def maintain_bars(
     prices: DataFrame, path: str, checkpoint: str, interval: str = "1 day", lateness: str = LATENESS, once: bool = True
 ) -> StreamingQuery:
-    """Materialise the bars at ``path``; each micro-batch rewrites only the days whose bars changed.
+    """Materialise the bars at ``path`` from all rows that have arrived, in any order and any micro-batches.
 
-    The first run starts from an empty table and backfills the whole history.
+    The first run takes the whole history. Later ones leave aside rows more than ``lateness`` older than the
+    newest row stored when the run began; they go to the folder ``path`` + "-late", where they can be counted.
+
+    A micro-batch stores its rows beside the table, by the day their bucket begins, names the days it touched, and
+    recomputes those days' bars from everything stored for them; a replayed batch replaces its own rows. The days of a batch are as few as the calendar has.
     """
-    return stream_upsert(streaming_bars(prices, interval, lateness), bars_table(path), checkpoint, once=once)
+    spark, arrivals = prices.sparkSession, f"{path}-arrivals"
+    newest = None
+    if folder_exists(spark, arrivals):
+        newest = spark.read.parquet(arrivals).agg(F.max("timestamp")).first()[0]
+    since = F.lit(newest) - F.expr(f"INTERVAL {lateness}")
+    late = F.lit(False) if newest is None else F.col("timestamp") < since
+
+    def merge(batch: DataFrame, number: int) -> None:
+        if batch.isEmpty():
+            return
+        spark, folder = batch.sparkSession, f"{arrivals}/batch={number}"
+        begun = F.window("timestamp", interval)["start"]
+        if newest is not None:
+            batch.where(late).write.mode("overwrite").parquet(f"{path}-late/batch={number}")
+            batch = batch.where(~late)
+            if batch.isEmpty():
+                return
+        batch.withColumn("begun", utc_day(begun)).write.mode("overwrite").partitionBy("begun").parquet(folder)
+        touched = spark.read.parquet(folder).select("begun").distinct()
+        near = spark.read.parquet(arrivals).join(touched, "begun", "left_semi")
+        bars_table(path).upsert(spark, rollup_bars(near.select(batch.columns), interval))
+
+    writer = prices.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
 
 
 def bars_from_stream_files(stream: DataFrame) -> DataFrame:

@@ -108,3 +108,29 @@ def test_price_stream_merges_replays(spark, tmp_path):
     land(prices(spark, [("A", day(2), 5.0), ("B", day(3), 3.0)]), source, "3")
     assert run() == {("A", day(1)): 1.0, ("A", day(2)): 5.0, ("B", day(3)): 3.0}
     assert table.read(spark).count() == 3
+
+
+def test_bars_are_the_same_for_any_number_of_files_per_batch(spark, tmp_path):
+    source, times = str(tmp_path / "in"), [20, 1, 9]
+    for n, d in enumerate(times):
+        prices(spark, [("A", day(d, 3), 10.0 + d), ("A", day(9, 4 + n), 5.0 + n)]).write.mode("append").parquet(source)
+    got = {}
+    for files in (1, 3, 1000):
+        reader = spark.readStream.schema(STOCK_PRICES).option("maxFilesPerTrigger", files)
+        table, marks = str(tmp_path / f"bars{files}"), str(tmp_path / f"marks{files}")
+        stream_bars.maintain_bars(reader.parquet(source), table, marks).awaitTermination()
+        bars = stream_bars.bars_table(table).read(spark).drop("day").select("bucket", "open", "close", "volume")
+        got[files] = sorted(map(tuple, bars.collect()))
+    assert len(got[1]) == 3 and got[1] == got[3] == got[1000]
+
+
+def test_upsert_from_another_time_zone_meets_its_row(spark, tmp_path):
+    table = stream_bars.bars_table(str(tmp_path / "bars"))
+    table.upsert(spark, spark.sql("SELECT timestamp_seconds(1704164400) bucket, 'A' stock_symbol, 1D open, 1D high, 1D low, 1D close, 1L volume"))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        table.upsert(spark, spark.sql("SELECT timestamp_seconds(1704164400) bucket, 'A' stock_symbol, 1D open, 1D high, 1D low, 2D close, 1L volume"))
+        assert [float(r.close) for r in table.read(spark).collect()] == [2.0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
