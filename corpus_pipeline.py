@@ -14,12 +14,6 @@ from ledgerlark.llm.graph import written
 from ledgerlark.llm.queries import tokenizer_files
 
 
-def only(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is among those ``decided``; a null doc_id counts as one."""
-    ids = decided.select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["__id"]), "left_semi")
-
-
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised, with that language; rejected ones go.
 
@@ -42,8 +36,19 @@ def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest doc_id, of each group of near copies."""
-    return only(docs, near_dedup.near_copies(spark, docs).where("kept"))
+    """One document, the one with the smallest doc_id, of each group of near copies; one without id comes last.
+
+    Rows are told apart by id and text; of rows equal in both one stays, the smallest by all columns.
+    """
+    named = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
+    decided = near_dedup.near_copies(spark, named, "__row").select(F.col("doc_id").alias("__row"), "component_id")
+    rows = decided.groupBy("__row").agg(F.first("component_id").alias("__part"), (F.count("*") > 1).alias("__repeats"))
+    rows = written(spark, rows, "rows")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
+    first = named.select("__row", "doc_id").join(rows, "__row").groupBy("__part").agg(F.min(order).alias("first"))
+    kept = named.join(first.select("first.__row").join(rows, "__row"), "__row")
+    again = kept.where("__repeats").groupBy("__row").agg(F.min(F.struct(*docs.columns)).alias("__first"))
+    return kept.where("not __repeats").select(docs.columns).union(again.select("__first.*"))
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
