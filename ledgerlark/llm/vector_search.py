@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 from ledgerlark.llm.graph import written
 
 #: Vectors that the centroids are fitted on, at most about this many; every vector is indexed.
-SAMPLE = 20_000
+SAMPLE = 32_768
 #: Centroids of each half, at most; so there are at most MOST ** 2 cells.
-MOST = 256
+MOST = 1_024
 #: Entries a cell has on average.
 OCCUPANCY = 32
-#: Entries that a query looks at, at least.
-CANDIDATES = 6_000
+#: Share of the true neighbours that trial queries must find; and their number, at most about this.
+RECALL, TRIALS = 0.95, 128
 #: Vectors of one cell that are kept together, and vectors of one task's group.
 BLOCK, REGION = 2_048, 8_192
 
@@ -69,8 +69,8 @@ class MultiIndex:
         a, b = nearest(points[:, : self.half], self.first), nearest(points[:, self.half :], self.second)
         return a * len(self.second) + b
 
-    def traverse(self, query: np.ndarray, least: int) -> list[int]:
-        """Cells in order of the summed distance of both halves, until they hold ``least`` entries.
+    def traverse(self, query: np.ndarray, visits: int, least: int) -> list[int]:
+        """Cells with entries in order of the summed distance of both halves: ``visits``, or more until they hold ``least``.
 
         Distance is the negative inner product, so the sum is that of the query and the cell's centroid. A
         heap holds the next pairs of both halves' centroids, each half sorted by its own distance.
@@ -78,7 +78,7 @@ class MultiIndex:
         near, far = -(self.first @ query[: self.half]), -(self.second @ query[self.half :])
         rows, columns = near.argsort(kind="stable"), far.argsort(kind="stable")
         heap, seen, out, held = [(near[rows[0]] + far[columns[0]], 0, 0)], {(0, 0)}, [], 0
-        while heap and held < least:
+        while heap and (len(out) < visits or held < least):
             _, i, j = heapq.heappop(heap)
             count = int(self.count[rows[i], columns[j]])
             if count:
@@ -91,6 +91,14 @@ class MultiIndex:
         return out
 
 
+    def visits_to(self, query: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """The number of cells that ``traverse`` has visited when it has been to each of ``cells``, ties last."""
+        near, far = -(self.first @ query[: self.half]), -(self.second @ query[self.half :])
+        distance = (near[:, None] + far[None, :]).ravel()
+        held = np.sort(distance[self.count.ravel() > 0])
+        return np.searchsorted(held, distance[cells], side="right")
+
+
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the k largest scores, ties to the smaller id."""
     if len(scores) > k:
@@ -101,6 +109,49 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return some[np.lexsort((ids[some], -scores[some]))][:k]
 
 
+def visits_needed(entries: DataFrame, index: MultiIndex, asked: DataFrame, k: int, recall: float) -> int:
+    """Cells that a query must visit so that of the trials from ``asked`` (id, v) the share ``recall`` find that share of their k neighbours.
+
+    The trials are compared with all ``entries``; each task keeps its k best a trial, the driver gets k a trial.
+    """
+    order = F.xxhash64(F.lit("trial"), "id")
+    trials = asked.orderBy(order, "id").limit(TRIALS).toPandas()
+    if not len(trials):
+        return 1
+    own, queries = trials["id"].to_numpy(), np.stack(trials["v"].to_numpy())
+
+    def nearby(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(np.empty(0), np.empty(0, np.int64), np.empty(0, np.int64))] * len(own)
+        for whole in batches:
+            for at in range(0, whole.num_rows, BLOCK):
+                batch = whole.slice(at, BLOCK)
+                ids, cells = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+                scores = stacked(batch.column(1)) @ queries.T
+                for t in range(len(own)):
+                    other = np.flatnonzero(ids != own[t])
+                    other = other[best(scores[other, t], ids[other], k)]
+                    parts = zip(held[t], (scores[other, t], ids[other], cells[other]))
+                    score, name, cell = (np.concatenate(p) for p in parts)
+                    top = best(score, name, k)
+                    held[t] = score[top], name[top], cell[top]
+        trial = np.repeat(np.arange(len(own)), [len(h[0]) for h in held])
+        score, name, cell = (np.concatenate([h[i] for h in held]) for i in range(3))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (trial, score, name, cell)], names=["trial", "score", "id", "cell"])
+
+    found = entries.mapInArrow(nearby, "trial long, score double, id long, cell long")
+    ranked = F.row_number().over(Window.partitionBy("trial").orderBy(F.desc("score"), "id"))
+    found = found.withColumn("rank", ranked).where(F.col("rank") <= k).select("trial", "cell").toPandas()
+    if not len(found):
+        return 1
+    needed = [share_of(index.visits_to(queries[t], cells.to_numpy()), recall) for t, cells in found.groupby("trial")["cell"]]
+    return share_of(np.array(needed), recall)
+
+
+def share_of(needed: np.ndarray, share: float) -> int:
+    """The least number that ``share`` of ``needed`` don't exceed."""
+    return int(np.sort(needed)[max(0, int(np.ceil(share * len(needed))) - 1)])
+
+
 def search(
     spark: SparkSession,
     table: DataFrame,
@@ -108,14 +159,16 @@ def search(
     k: int = 20,
     vec_id: str = "vec_id",
     vector: str = "embedding",
-    candidates: int = CANDIDATES,
+    recall: float = RECALL,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: for each query row the k found with the largest inner product.
 
     Candidates are all rows that take part but the query's own id; ``is_query`` is a condition on the
-    column ``id``. A query visits the cells of the multi-index in order until they hold ``candidates``
-    entries, and all of these are scored in double precision. Each vector is indexed; centroids are
-    fitted on a sample of about SAMPLE. Cells with many vectors are split into blocks, so no task holds a
+    column ``id``. A query visits distinct cells of the multi-index, in order; for their number about TRIALS of the
+    queries are tried, whose neighbours are also found exactly, and the share ``recall`` of these find that share of
+    them; so the number grows with the table, and a cell of many copies counts as one. All entries of these
+    cells are scored in double precision. Each vector is indexed; centroids are fitted on a sample of about
+    SAMPLE. Cells with many vectors are split into blocks, so no task holds a
     cell; blocks and the queries that want them meet in groups of about REGION vectors.
 
     Vectors that are null, zero, of another length than most, or hold a null, NaN or infinity take no
@@ -142,8 +195,10 @@ def search(
                 yield pa.RecordBatch.from_arrays([*batch.columns, cells], names=["id", "v", "cell"])
 
     entries = written(spark, rows.mapInArrow(assign, "id long, v array<double>, cell long"), "entries")
-    for cell, count in entries.groupBy("cell").count().collect():  # at most MOST ** 2
-        index.count.flat[cell] = count
+    counts = entries.groupBy("cell").count().toPandas()  # at most MOST ** 2
+    index.count.flat[counts["cell"].to_numpy()] = counts["count"].to_numpy()
+    asked = rows.where(is_query).groupBy("id").agg(F.min("v").alias("v"))
+    visits = visits_needed(entries, index, asked, k, recall)
     blocks = np.maximum(1, -(-index.count.ravel() // BLOCK))
     regions = max(1, -(-total // REGION))
     shared = spark.sparkContext.broadcast((index, blocks))
@@ -163,7 +218,7 @@ def search(
         for batch in batches:
             owner, wanted, at = [], [], []
             for row, query in enumerate(stacked(batch.column(1)) if batch.num_rows else ()):
-                cells = np.array(index.traverse(query, candidates))
+                cells = np.array(index.traverse(query, visits, k + 1))
                 spread = np.repeat(cells, blocks[cells])
                 number = np.arange(len(spread)) - np.repeat(np.cumsum(blocks[cells]) - blocks[cells], blocks[cells])
                 to = region(spread, number)
@@ -192,7 +247,6 @@ def search(
         return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
     placed = entries.mapInArrow(place, "id long, v array<double>, cell long, region long")
-    asked = rows.where(is_query).groupBy("id").agg(F.min("v").alias("v"))
     asked = asked.mapInArrow(visit, "query_id long, q array<double>, cells array<long>, region long")
     found = (
         placed.groupBy("region")
