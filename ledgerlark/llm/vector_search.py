@@ -49,7 +49,8 @@ def centroids(points: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 
 def nearest(points: np.ndarray, found: np.ndarray) -> np.ndarray:
-    return ((found**2).sum(axis=1) - 2 * points @ found.T).argmin(axis=1)
+    size, parts = (found**2).sum(axis=1), range(0, max(len(points), 1), BLOCK)
+    return np.concatenate([(size - 2 * points[i : i + BLOCK] @ found.T).argmin(axis=1) for i in parts])
 
 
 def stacked(column: pa.Array) -> np.ndarray:
