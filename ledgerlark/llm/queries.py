@@ -16,8 +16,11 @@ from ledgerlark.llm import (
     mixing,
     near_dedup,
     packing,
+    phrases,
+    prefix_trie,
     sharding,
     text_search,
+    url_filter,
     vector_search,
 )
 
@@ -78,6 +81,19 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = url_filter.rule_table(spark, url_filter.RULES)
+    return url_filter.judge(spark, table(spark, sf_dir, "pages"), rules).drop("component")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(spark, table(spark, sf_dir, "conversations"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(spark, table(spark, sf_dir, "documents"))
+
+
 OP10_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -133,6 +149,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_text_search,
         op9_line_dedup,
         op10_mixing,
+        op11_url_filter,
+        op12_prefix_trie,
+        op13_collocations,
     )
 }
 ORACLE: dict[str, str] = {"op10_mixing": OP10_SQL}

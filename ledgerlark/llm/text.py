@@ -59,19 +59,19 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, dtype=np.uint8) if data is not None else np.empty(0, np.uint8)), bounds
 
 
-def segments(data: np.ndarray, bounds: np.ndarray, is_word: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Spans of about SEGMENT bytes that end at a row's end or, in a longer row, before a space."""
+def segments(data: np.ndarray, bounds: np.ndarray, is_word: np.ndarray, size: int = SEGMENT) -> Iterator[tuple[int, int]]:
+    """Spans of about ``size`` bytes that end at a row's end or, in a longer row, before a space."""
     at, end = int(bounds[0]), int(bounds[-1])
     while at < end:
-        stop = int(bounds[np.searchsorted(bounds, min(at + SEGMENT, end), side="right") - 1])
+        stop = int(bounds[np.searchsorted(bounds, min(at + size, end), side="right") - 1])
         if stop <= at:
-            stop, row_end = at + SEGMENT, int(bounds[np.searchsorted(bounds, at, side="right")])
+            stop, row_end = at + size, int(bounds[np.searchsorted(bounds, at, side="right")])
             while stop < row_end:
-                breaks = np.flatnonzero(~is_word[LOWER[data[stop : min(stop + SEGMENT, row_end)]]])
+                breaks = np.flatnonzero(~is_word[LOWER[data[stop : min(stop + size, row_end)]]])
                 if len(breaks):
                     stop += int(breaks[0])
                     break
-                stop += SEGMENT
+                stop += size
             stop = min(stop, row_end)
         yield at, stop
         at = stop
