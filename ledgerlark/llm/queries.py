@@ -24,6 +24,8 @@ from ledgerlark.llm import (
     vector_search,
 )
 
+from ledgerlark.llm.sql import OP11_SQL, OP12_SQL, OP13_SQL
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -154,4 +156,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op13_collocations,
     )
 }
-ORACLE: dict[str, str] = {"op10_mixing": OP10_SQL}
+ORACLE: dict[str, str] = {
+    "op10_mixing": OP10_SQL,
+    "op11_url_filter": OP11_SQL,
+    "op12_prefix_trie": OP12_SQL,
+    "op13_collocations": OP13_SQL,
+}
