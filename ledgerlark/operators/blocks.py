@@ -35,7 +35,14 @@ def beside(df: DataFrame, small: DataFrame, on: Sequence[str], how: str, rows: i
 def in_blocks(
     spark: SparkSession, rows: DataFrame, keys: Sequence[str], order: str, block_rows: int, block: str = "_block"
 ) -> DataFrame:
-    """``rows`` with ``block``: 0, 1, ... in ascending ``order`` within each group of equal ``keys``.
+    """The first part of ``cut_into_blocks``."""
+    return cut_into_blocks(spark, rows, keys, order, block_rows, block)[0]
+
+
+def cut_into_blocks(
+    spark: SparkSession, rows: DataFrame, keys: Sequence[str], order: str, block_rows: int, block: str = "_block"
+) -> tuple[DataFrame, bool]:
+    """``rows`` with ``block``: 0, 1, ... in ascending ``order`` within each group of equal ``keys``; whether any was cut.
 
     Groups of at most ``block_rows`` rows are one block. Longer ones are cut at quantiles of ``order``
     into blocks of about ``block_rows`` rows; rows of one group and one value of ``order`` share a block,
@@ -46,10 +53,11 @@ def in_blocks(
     keys = list(keys)
     names = [f"__cut_{i}" for i in range(len(keys))]
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") > block_rows)
-    long_groups = stored(spark, sizes.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], "__rows"), "long-groups")
-    found = long_groups.count()
+    sizes = sizes.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], "__rows")
+    found = sizes.count()
     if not found:
-        return rows.withColumn(block, F.lit(0))
+        return rows.withColumn(block, F.lit(0)), False
+    long_groups = stored(spark, sizes, "long-groups")
     same = [rows[k].eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
     condition = same[0]
     for more in same[1:]:
@@ -64,7 +72,7 @@ def in_blocks(
     small = F.broadcast(cuts) if found <= BROADCAST_ROWS else cuts
     passed = F.filter("__cuts", lambda x: x < F.col(order))
     placed = rows.join(small, condition, "left")
-    return placed.withColumn(block, F.coalesce(F.size(passed), F.lit(0))).drop(*names, "__cuts")
+    return placed.withColumn(block, F.coalesce(F.size(passed), F.lit(0))).drop(*names, "__cuts"), True
 
 
 def before_block(

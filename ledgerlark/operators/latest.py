@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerlark.functions.predicates import filter_range
+from ledgerlark.operators.blocks import before_block, beside, cut_into_blocks, stored
 
 
 def latest_by(
@@ -69,41 +70,35 @@ def asof_join(
     left_order: str,
     right_order: str,
     values: dict[str, str],
-    bucket: str = "month",
+    block_rows: int = 1_000_000,
 ) -> DataFrame:
     """Each left row with the values of the last right row of its key at or before its time (else NULL).
 
-    Rows meet per (key, bucket). What a bucket inherits from earlier ones comes from a table of each
-    bucket's last right row, so no task sees a key's whole history.
+    Of right rows at one time the one with the greatest ``values`` counts. Both sides are sorted together by key
+    and time; a key with more than ``block_rows`` rows is cut at quantiles of its time, and each block
+    starts from the last right row of the blocks before it, so a key that holds all rows is spread over all
+    tasks. Right rows without a time match nothing, left rows without one get NULL, and null keys don't meet.
     """
     payload = F.struct(*[F.col(c).alias(out) for out, c in values.items()])
-    lefts = left.withColumn("_time", F.col(left_order)).withColumn("_bucket", F.date_trunc(bucket, F.col("_time")))
-    rights = right.select(*keys, F.col(right_order).alias("_time"), payload.alias("_found")).withColumn(
-        "_bucket", F.date_trunc(bucket, F.col("_time"))
-    )
-
-    closing = rights.groupBy(*keys, "_bucket").agg(F.max_by("_found", "_time").alias("_last"))
-    opened = lefts.select(*keys, "_bucket").distinct()
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    inherited = (
-        opened.withColumn("_wanted", F.lit(True))
-        .join(closing, [*keys, "_bucket"], "full")
-        .withColumn("_found", F.last("_last", ignorenulls=True).over(earlier))
-        .where(F.col("_wanted") & F.col("_found").isNotNull())
-        .select(*keys, "_bucket", F.col("_bucket").alias("_time"), "_found")
-    )
-
-    # Side orders equal times: inherited, then right rows, then left rows.
-    both = (
-        lefts.withColumn("_side", F.lit(2))
-        .unionByName(rights.withColumn("_side", F.lit(1)), allowMissingColumns=True)
-        .unionByName(inherited.withColumn("_side", F.lit(0)), allowMissingColumns=True)
-    )
-    so_far = Window.partitionBy(*keys, "_bucket").orderBy("_time", "_side").rowsBetween(
+    lefts = left.withColumn("_time", F.col(left_order)).withColumn("_side", F.lit(2))
+    rights = right.select(*keys, F.col(right_order).alias("_time"), payload.alias("_found")).where(F.col("_time").isNotNull())
+    for key in keys:
+        rights = rights.where(F.col(key).isNotNull())
+    # Side orders equal times: right rows, then left rows.
+    both = lefts.unionByName(rights.withColumn("_side", F.lit(1)), allowMissingColumns=True)
+    placed, cut = cut_into_blocks(left.sparkSession, both, keys, "_time", block_rows)
+    so_far = Window.partitionBy(*keys, "_block").orderBy("_time", "_side", "_found").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    return (
-        both.withColumn("_match", F.last("_found", ignorenulls=True).over(so_far))
-        .where(F.col("_side") == 2)
-        .select(*left.columns, *[F.col("_match")[out].alias(out) for out in values])
-    )
+    matched = placed.withColumn("_match", F.last("_found", ignorenulls=True).over(so_far))
+    if cut:
+        latest_first = F.struct("_time", "_found")
+        closing = placed.where(F.col("_side") == 1).groupBy(*keys, "_block").agg(F.max(latest_first).alias("_last"))
+        # A block without right rows hands on what it was given.
+        closing = placed.select(*keys, "_block").distinct().join(closing, [*keys, "_block"], "left")
+        carried = before_block(closing, keys, "_block", {"_before": F.last("_last", ignorenulls=True)})
+        carried = stored(left.sparkSession, carried.where(F.col("_before").isNotNull()), "asof-blocks")
+        matched = beside(matched, carried, [*keys, "_block"], "left", carried.count())
+        inherited = F.when(F.col("_time").isNotNull(), F.col("_before._found"))
+        matched = matched.withColumn("_match", F.coalesce("_match", inherited))
+    return matched.where(F.col("_side") == 2).select(*left.columns, *[F.col("_match")[out].alias(out) for out in values])

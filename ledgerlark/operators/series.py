@@ -10,12 +10,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ledgerlark.operators.blocks import in_blocks
+
+QUANTILES = "quantiles"
+
 
 @dataclass(frozen=True)
 class Series:
     """How rows form series and how long series are cut.
 
-    ``bucket`` is a ``date_trunc`` unit small enough that one key's rows in it fit a task. Consecutive
+    ``bucket`` is a ``date_trunc`` unit small enough that one key's rows in it fit a task, or ``QUANTILES``, which cuts a
+    key with more than an eighth of ``block_rows`` rows at quantiles of its order, however dense. Consecutive
     buckets of a key are put together until a block has about ``block_rows`` rows. ``bucket=None``
     keeps each key in one window partition; use it only where the calendar bounds a series, as with
     one bar per day.
@@ -64,7 +69,11 @@ def _block_plan(df: DataFrame, series: Series, lookback: int) -> DataFrame:
 def split(df: DataFrame, series: Series, lookback: int) -> DataFrame:
     """Add ``_part`` (block) and ``_own``; rows within ``lookback`` of a later block are repeated there
     with ``_own`` false, so frames of up to ``lookback`` preceding rows are complete in every block."""
-    cut = df.withColumn("_bucket", F.date_trunc(series.bucket, F.col(series.order)))
+    if series.bucket == QUANTILES:
+        piece = max(1, series.block_rows // 8)
+        cut = in_blocks(df.sparkSession, df, series.keys, series.order, piece, "_bucket")
+    else:
+        cut = df.withColumn("_bucket", F.date_trunc(series.bucket, F.col(series.order)))
     plan = _block_plan(cut, series, lookback)
     return (
         cut.join(plan, [*series.keys, "_bucket"])

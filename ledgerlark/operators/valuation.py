@@ -46,12 +46,15 @@ def portfolio_value(positions: DataFrame, portfolios: DataFrame | None = None) -
 
 
 def portfolio_returns(
-    holdings: DataFrame, prices: DataFrame, start: str | None, end: str | None = None
+    holdings: DataFrame, prices: DataFrame, start: str | None, end: str | None = None, portfolios: DataFrame | None = None
 ) -> DataFrame:
     """Value of today's positions at two dates and the return between them, from one price scan.
 
-    A position counts at a date only if its symbol has a price by then.
+    A position counts at a date only if its symbol has a price by then. With ``portfolios``, those without
+    holdings show zeros.
     """
+    if portfolios is not None:
+        holdings = portfolios.select("portfolio_id").distinct().join(holdings, "portfolio_id", "left")
 
     def close_at(date: str | None) -> Column:
         return F.max_by("close", F.when(in_range("timestamp", end=date), F.col("timestamp")))

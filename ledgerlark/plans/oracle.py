@@ -81,6 +81,46 @@ SELECT stock_symbol, arg_max(close, "timestamp") AS close FROM stock_prices GROU
     "positions": """
 SELECT portfolio_id, h.stock_symbol, q, cost, close, CAST(q AS DECIMAL(15,0)) * close AS value
 FROM holdings h JOIN last_close p ON h.stock_symbol = p.stock_symbol""",
+    "days": """
+SELECT CAST(unnest(range(TIMESTAMP '1995-01-01', TIMESTAMP '2002-01-01', INTERVAL 1 DAY)) AS DATE) AS day""",
+    "held_days": """
+SELECT portfolio_id, stock_symbol, day, q FROM (
+  SELECT *, sum(change) OVER w AS q, lead(since, 1, DATE '2002-01-01') OVER w AS until FROM (
+    SELECT portfolio_id, stock_symbol, CAST(transaction_date AS DATE) AS since,
+           sum(CASE WHEN transaction_type = 'BUY' THEN quantity ELSE -quantity END) AS change
+    FROM transactions GROUP BY ALL) WINDOW w AS (PARTITION BY portfolio_id, stock_symbol ORDER BY since))
+JOIN days ON day >= since AND day < until WHERE q > 0""",
+    "close_days": """
+SELECT stock_symbol, day, close FROM (
+  SELECT stock_symbol, CAST("timestamp" AS DATE) AS since, close,
+         lead(CAST("timestamp" AS DATE), 1, DATE '2002-01-01') OVER (PARTITION BY stock_symbol ORDER BY "timestamp") AS until
+  FROM stock_prices) JOIN days ON day >= since AND day < until""",
+    "flows": """
+SELECT portfolio_id, CAST(transaction_date AS DATE) AS day,
+       sum(CASE WHEN transaction_type = 'BUY' THEN quantity * price ELSE -quantity * price END) AS flow
+FROM transactions GROUP BY ALL""",
+    "day_totals": """
+SELECT portfolio_id, day, sum(CAST(q AS DECIMAL(15,0)) * close) AS value
+FROM held_days JOIN close_days USING (stock_symbol, day) GROUP BY ALL""",
+    "day_values": """
+SELECT portfolio_id, day, value, COALESCE(flow, 0) AS flow,
+       CASE WHEN lag(day) OVER w = day - 1 THEN CAST(value - COALESCE(flow, 0) - lag(value) OVER w AS DOUBLE)
+            / CAST(lag(value) OVER w AS DOUBLE) * 100 END AS pct
+FROM day_totals LEFT JOIN flows USING (portfolio_id, day) WINDOW w AS (PARTITION BY portfolio_id ORDER BY day)""",
+    "numbered_closes": """
+SELECT *, row_number() OVER (PARTITION BY stock_symbol ORDER BY "timestamp") AS rn FROM stock_prices""",
+    "numbered_ticks": """
+SELECT *, row_number() OVER (PARTITION BY stock_symbol ORDER BY "timestamp") AS rn FROM ticks""",
+    "quotes": """
+SELECT a, b, arg_max(rate, own) AS rate FROM (
+  SELECT base_currency AS a, quote_currency AS b, 1 AS own, rate FROM latest_rates
+  UNION ALL SELECT quote_currency, base_currency, 0, 1.0::DOUBLE / rate FROM latest_rates) GROUP BY ALL""",
+    "routes": """
+SELECT a, b, rate, 1 AS hops, [a, b] AS path FROM quotes
+UNION ALL SELECT r.a, q.b, r.rate * q.rate, hops + 1, list_append(path, q.b)
+FROM routes r JOIN quotes q ON r.b = q.a WHERE NOT list_contains(path, q.b)""",
+    "crossed": """
+SELECT a, b, rate, hops, path FROM routes QUALIFY row_number() OVER (PARTITION BY a, b ORDER BY hops, path) = 1""",
     "ordered_trades": """
 SELECT *, row_number() OVER (PARTITION BY portfolio_id, stock_symbol ORDER BY transaction_date, transaction_id) AS rn
 FROM transactions""",
@@ -140,6 +180,16 @@ _NEEDS = {
     "latest_rates": ["rates"],
     "holdings": ["transactions"],
     "positions": ["holdings", "last_close"],
+    "held_days": ["transactions", "days"],
+    "close_days": ["stock_prices", "days"],
+    "flows": ["transactions"],
+    "day_totals": ["held_days", "close_days"],
+    "day_values": ["day_totals", "flows"],
+    "numbered_closes": ["stock_prices"],
+    "numbered_ticks": ["ticks"],
+    "quotes": ["latest_rates"],
+    "routes": ["quotes"],
+    "crossed": ["routes"],
     "ordered_trades": ["transactions"],
     "walk": ["ordered_trades"],
     "weighted_all": ["walk"],
@@ -212,18 +262,45 @@ SELECT stock_symbol, "timestamp", CAST(close AS DOUBLE) AS close, CAST(prev AS D
 FROM (SELECT *, lag(close) OVER ({_BY}) AS prev FROM {table}) WHERE prev IS NOT NULL"""
 
 
-def _risk(where: str, annualize: bool) -> str:
+def _falls(source: str, keys: str, order: str, value: str) -> str:
+    """The worst fall from a running maximum, in per cent."""
+    peak = f"max({value}) OVER (PARTITION BY {keys} ORDER BY {order})"
+    return f"""
+SELECT {keys}, 100 * max((peak - v) / peak) AS max_drawdown
+FROM (SELECT {keys}, CAST({peak} AS DOUBLE) AS peak, CAST({value} AS DOUBLE) AS v FROM {source}) GROUP BY ALL"""
+
+
+def _means_so_far(table: str, value: str, names: dict[str, int]) -> str:
+    """Recursive means of ``value`` by a walk over the numbered rows."""
+    first = ", ".join(f"CAST({value} AS DOUBLE) AS {n}" for n in names)
+    then = ", ".join(f"2.0::DOUBLE / {p + 1} * {value} + (1 - 2.0::DOUBLE / {p + 1}) * w.{n}" for n, p in names.items())
+    return f"""
+SELECT t.stock_symbol, t."timestamp", t.rn, {first} FROM {table} t WHERE rn = 1
+UNION ALL SELECT t.stock_symbol, t."timestamp", t.rn, {then}
+FROM {{walk}} w JOIN {table} t ON t.stock_symbol = w.stock_symbol AND t.rn = w.rn + 1"""
+
+
+CTES["means"] = _means_so_far("numbered_closes", "t.close", {"ema_12": 12, "ema_26": 26}).replace("{walk}", "means")
+CTES["tick_means"] = _means_so_far("numbered_ticks", "t.close", {"ema_12": 12, "ema_26": 26}).replace("{walk}", "tick_means")
+CTES["tick_signal"] = _means_so_far("tick_means", "(t.ema_12 - t.ema_26)", {"signal": 9}).replace("{walk}", "tick_signal")
+_NEEDS |= {"means": ["numbered_closes"], "tick_means": ["numbered_ticks"], "tick_signal": ["tick_means"]}
+
+
+def _risk(where: str, annualize: bool, falls: str | None = None, owners: str = "holdings") -> str:
     volatility = "d * sqrt(252::DOUBLE)" if annualize else "d * 100"
+    drawdown = "CAST(0 AS DOUBLE)" if falls is None else "COALESCE(round(max_drawdown, 6), 0)"
+    joined = "" if falls is None else f"LEFT JOIN ({falls}) USING (portfolio_id)"
+    owners = "holdings h" if owners == "holdings" else f"(SELECT portfolio_id, stock_symbol FROM {owners} LEFT JOIN holdings USING (portfolio_id)) h"
     return f"""
 SELECT portfolio_id, round(v, 6) AS volatility,
        round(CASE WHEN v > 0 THEN (m - 0.02::DOUBLE) / v ELSE 0 END, 6) AS sharpe_ratio,
-       CAST(0 AS DOUBLE) AS max_drawdown, round(m, 6) AS avg_annual_return
+       {drawdown} AS max_drawdown, round(m, 6) AS avg_annual_return
 FROM (SELECT portfolio_id, {volatility} AS v, a * 252 AS m FROM (
   SELECT portfolio_id, COALESCE(stddev_samp(r), 0) AS d, COALESCE(avg(r), 0) AS a
-  FROM holdings h LEFT JOIN (
+  FROM {owners} LEFT JOIN (
     SELECT stock_symbol, CAST(close - prev AS DOUBLE) / CAST(prev AS DOUBLE) AS r
     FROM (SELECT *, lag(close) OVER ({_BY}) AS prev FROM stock_prices WHERE {where}) WHERE prev IS NOT NULL
-  ) p ON h.stock_symbol = p.stock_symbol GROUP BY portfolio_id))"""
+  ) p ON h.stock_symbol = p.stock_symbol GROUP BY portfolio_id)) {joined}"""
 
 
 _SNAPSHOT = """
@@ -340,17 +417,41 @@ ORACLE: dict[str, str] = {
         CASE WHEN s > 0 THEN (e - s) / s * 100 ELSE 0 END AS total_return_pct
         FROM (SELECT portfolio_id, CAST(COALESCE(sum(CAST(q AS DECIMAL(15,0)) * a), 0) AS DOUBLE) AS s,
                      CAST(COALESCE(sum(CAST(q AS DECIMAL(15,0)) * b), 0) AS DOUBLE) AS e
-              FROM holdings h LEFT JOIN (
+              FROM (SELECT * FROM portfolios LEFT JOIN holdings USING (portfolio_id)) h LEFT JOIN (
                 SELECT stock_symbol, arg_max(close, "timestamp") FILTER ("timestamp" <= TIMESTAMP '1997-01-01') AS a,
                        arg_max(close, "timestamp") FILTER ("timestamp" <= TIMESTAMP '1999-06-30') AS b
                 FROM stock_prices GROUP BY stock_symbol) p ON h.stock_symbol = p.stock_symbol GROUP BY portfolio_id)""",
         "holdings",
         "stock_prices",
+        "portfolios",
+    ),
+    "daily_portfolio_values": _sql(
+        """SELECT portfolio_id, CAST(day AS TIMESTAMP) AS day, round(CAST(value AS DOUBLE), 2) AS total_value,
+        round(CAST(flow AS DOUBLE), 2) AS net_flow, round(pct, 6) AS daily_return_pct FROM day_values""",
+        "day_values",
+    ),
+    "portfolio_drawdowns": _sql(
+        f"SELECT portfolio_id, round(max_drawdown, 6) AS max_drawdown FROM ({_falls('day_totals', 'portfolio_id', 'day', 'value')})",
+        "day_totals",
+    ),
+    "tick_drawdowns": _sql(
+        f"""SELECT stock_symbol, round(max_drawdown, 6) AS max_drawdown
+        FROM ({_falls('ticks', 'stock_symbol', '"timestamp"', 'close')})""",
+        "ticks",
     ),
     "risk_metrics": _sql(
-        _risk("\"timestamp\" BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1999-06-30'", False), "holdings", "stock_prices"
+        _risk(
+            "\"timestamp\" BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1999-06-30'",
+            False,
+            _falls("(SELECT * FROM day_totals WHERE day BETWEEN DATE '1997-01-01' AND DATE '1999-06-30')", "portfolio_id", "day", "value"),
+        ),
+        "holdings",
+        "stock_prices",
+        "day_totals",
+    ),
+    "risk_metrics_annualized": _sql(
+        _risk("TRUE", True, owners="portfolios"), "holdings", "stock_prices", "portfolios"
     ),
-    "risk_metrics_annualized": _sql(_risk("TRUE", True), "holdings", "stock_prices"),
     "daily_returns": _sql(_returns("stock_prices"), "stock_prices"),
     "tick_returns": _sql(_returns("ticks"), "ticks"),
     "latest_prices": _sql("SELECT stock_symbol, CAST(close AS DOUBLE) AS current_price FROM last_close", "last_close"),
@@ -440,20 +541,50 @@ ORACLE: dict[str, str] = {
     ),
     "portfolio_metrics": _sql(
         f"""SELECT v.portfolio_id, TIMESTAMP '2002-01-01' AS calculation_date, total_value, total_cost,
-        round(COALESCE(realized, 0), 0) AS realized_gains, unrealized_gains,
+        round(COALESCE(realized, 0), 2) AS realized_gains, unrealized_gains,
         CASE WHEN total_cost > 0 THEN unrealized_gains / total_cost * 100 ELSE 0 END AS total_return_pct,
-        volatility, sharpe_ratio, max_drawdown AS max_drawdown_pct
+        volatility, sharpe_ratio, max_drawdown AS max_drawdown_pct, round(pct, 6) AS daily_return_pct
         FROM (SELECT f.portfolio_id, CAST(COALESCE(sum(value), 0) AS DOUBLE) AS total_value,
                      CAST(COALESCE(sum(cost), 0) AS DOUBLE) AS total_cost,
                      CAST(COALESCE(sum(value - cost), 0) AS DOUBLE) AS unrealized_gains
               FROM portfolios f LEFT JOIN positions p ON f.portfolio_id = p.portfolio_id GROUP BY f.portfolio_id) v
-        LEFT JOIN ({_risk('TRUE', False)}) r ON v.portfolio_id = r.portfolio_id
+        LEFT JOIN ({_risk('TRUE', False, _falls('day_totals', 'portfolio_id', 'day', 'value'), 'portfolios')}) r
+          ON v.portfolio_id = r.portfolio_id
+        LEFT JOIN (SELECT portfolio_id, arg_max(pct, day) AS pct FROM day_values WHERE pct IS NOT NULL GROUP BY portfolio_id) d
+          ON v.portfolio_id = d.portfolio_id
         LEFT JOIN (SELECT portfolio_id, sum(realized_gain) AS realized FROM weighted_all GROUP BY portfolio_id) g
           ON v.portfolio_id = g.portfolio_id""",
         "portfolios",
         "positions",
         "stock_prices",
         "weighted_all",
+        "day_values",
+    ),
+    "cross_rates": _sql(
+        """SELECT a AS from_currency, b AS to_currency, rate, CAST(hops AS BIGINT) AS hops,
+        array_to_string(path, '>') AS path FROM crossed""",
+        "crossed",
+    ),
+    "fx_multiplier_cross": _sql(
+        """SELECT base_currency, stock_symbol, s.quote_currency,
+        CASE WHEN s.quote_currency = base_currency THEN 1.0::DOUBLE ELSE rate END AS fx_multiplier
+        FROM (SELECT stock_symbol, quote_currency FROM security_view UNION ALL SELECT 'UNQUOTED', 'XAU') s
+        CROSS JOIN (SELECT unnest(['SGD', 'USD']) AS base_currency)
+        LEFT JOIN crossed ON a = s.quote_currency AND b = base_currency""",
+        "security_view",
+        "crossed",
+    ),
+    "ema_recursive": _sql(
+        """SELECT m.stock_symbol, m."timestamp", CAST(close AS DOUBLE) AS close, round(ema_12, 4) AS ema_12,
+        round(ema_26, 4) AS ema_26 FROM means m JOIN numbered_closes c ON m.stock_symbol = c.stock_symbol AND m.rn = c.rn""",
+        "means",
+    ),
+    "macd_recursive_ticks": _sql(
+        """SELECT m.stock_symbol, m."timestamp", CAST(close AS DOUBLE) AS close, round(ema_12, 4) AS ema_12,
+        round(ema_26, 4) AS ema_26, round(ema_12 - ema_26, 4) AS macd, round(signal, 4) AS macd_signal
+        FROM tick_means m JOIN numbered_ticks c ON m.stock_symbol = c.stock_symbol AND m.rn = c.rn
+        JOIN tick_signal s ON m.stock_symbol = s.stock_symbol AND m.rn = s.rn""",
+        "tick_signal",
     ),
     "sma": _sql(
         f"""SELECT stock_symbol, "timestamp", CAST(close AS DOUBLE) AS close, {_mean(20)} AS sma_20, {_mean(50)} AS sma_50,
@@ -484,9 +615,12 @@ ORACLE: dict[str, str] = {
     "all_indicators": _sql(_ALL_INDICATORS.format(source=_indicators("stock_prices")), "stock_prices"),
     "all_indicators_ticks": _sql(_ALL_INDICATORS.format(source=_indicators("ticks")), "ticks"),
     "store_indicators": _sql(
-        f"""SELECT stock_symbol, "timestamp", {', '.join(
-            f'CAST(CAST({c} AS DECIMAL(20,6)) AS DOUBLE) AS {c}' for c in ('sma_20', 'sma_50', 'sma_200', 'ema_12'))},
-        rsi_14 FROM {_indicators('ticks')}""",
+        f"""SELECT stock_symbol, "timestamp", rsi_14, {', '.join(
+            f'CAST(CAST({c} AS DECIMAL(20,6)) AS DOUBLE) AS {c}'
+            for c in ('sma_20', 'sma_50', 'sma_200', 'ema_12', 'ema_26', 'macd'))}, {', '.join(
+            f'CAST(round(CAST({v} AS DECIMAL(20,6)), 3) AS DOUBLE) AS {c}' for c, v in (
+                ('macd_signal', 'macd_signal'), ('bollinger_upper', 'sma_20 + 2 * spread'), ('bollinger_lower', 'sma_20 - 2 * spread')))}
+        FROM {_indicators('ticks')}""",
         "ticks",
     ),
     "indicator_snapshot": _sql(
@@ -524,6 +658,8 @@ ORACLE: dict[str, str] = {
     "asof_join_events": """SELECT e.event_id, e.user_id, e.ts, p.value AS last_purchase FROM events e
         ASOF LEFT JOIN (SELECT user_id, ts, value FROM events WHERE event_type = 'purchase') p
         ON e.user_id = p.user_id AND e.ts >= p.ts""",
+    "asof_join_one_key": """SELECT e.event_id, e.ts, p.event_id AS error_id, p.value AS error_value FROM events e
+        ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'error') p ON e.ts >= p.ts""",
     "latest_n_prices": _sql(
         """SELECT stock_symbol, "timestamp", CAST(close AS DOUBLE) AS close, rn FROM (
         SELECT *, row_number() OVER (PARTITION BY stock_symbol ORDER BY "timestamp" DESC) AS rn FROM stock_prices)

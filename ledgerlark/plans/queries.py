@@ -10,10 +10,11 @@ from pyspark.sql import types as T
 
 from ledgerlark.functions.predicates import filter_range
 from ledgerlark.functions.scratch import scratch_dir
+from ledgerlark.operators.blocks import stored
 from ledgerlark.functions.symbols import MARKETS, SECTORS, fx_pair, infer_market, sector_code
-from ledgerlark.operators import allocation, bars, holdings, indicators, latest, quality, reports, risk, upsert
-from ledgerlark.operators import valuation
-from ledgerlark.operators.series import DAILY_BARS, Series
+from ledgerlark.operators import allocation, bars, currency, daily, drawdown, holdings, indicators, latest, quality
+from ledgerlark.operators import recursive, reports, risk, upsert, valuation
+from ledgerlark.operators.series import DAILY_BARS, QUANTILES, Series
 from ledgerlark.plans import etl, export
 from ledgerlark.schemas import TRANSACTIONS
 from ledgerlark.sources import feeds, watchlist
@@ -30,8 +31,11 @@ START, END = "1997-01-01", "1999-06-30"
 MID = "2000-01-01"
 FX_CUT = "2024-01-20"
 NOW = "2024-01-20 12:00:00"
-# Ticks are dense: days hold many rows per symbol, so series are cut at days.
-TICKS = Series(bucket="day", block_rows=2_000)
+# Ticks are dense: series are cut at quantiles of their times, however many rows a day holds.
+TICKS = Series(bucket=QUANTILES, block_rows=200_000)
+SHORT_BLOCKS = Series(bucket=QUANTILES, block_rows=2_000)
+# The days of all trades and prices.
+FIRST_DAY, LAST_DAY = "1995-01-01", "2001-12-31"
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -119,18 +123,47 @@ def portfolio_value(spark, sf):
 
 @query
 def portfolio_returns(spark, sf):
-    return valuation.portfolio_returns(_holdings(spark, sf), data.stock_prices(spark, sf), START, END)
+    return valuation.portfolio_returns(
+        _holdings(spark, sf), data.stock_prices(spark, sf), START, END, data.portfolios(spark, sf)
+    )
+
+
+def _daily_values(spark: SparkSession, sf: str, first: str = FIRST_DAY, last: str = LAST_DAY) -> DataFrame:
+    return daily.daily_values(data.transactions(spark, sf), data.stock_prices(spark, sf), first, last)
+
+
+@query
+def daily_portfolio_values(spark, sf):
+    """Every portfolio on every day, from all trades and closes."""
+    return rounded(_daily_values(spark, sf), total_value=2, net_flow=2, daily_return_pct=6)
+
+
+@query
+def portfolio_drawdowns(spark, sf):
+    return rounded(drawdown.max_drawdown(_daily_values(spark, sf), ["portfolio_id"], "day", "total_value"), max_drawdown=6)
+
+
+@query
+def tick_drawdowns(spark, sf):
+    """Dense series in blocks of about a thousand rows."""
+    out = drawdown.max_drawdown(_tick_closes(spark, sf), ["stock_symbol"], "timestamp", "close", block_rows=1_000)
+    return rounded(out, max_drawdown=6)
 
 
 @query
 def risk_metrics(spark, sf):
-    out = risk.risk_metrics(_holdings(spark, sf), data.stock_prices(spark, sf), START, END, series=DAILY_BARS)
-    return rounded(out, volatility=6, sharpe_ratio=6, avg_annual_return=6)
+    falls = drawdown.max_drawdown(_daily_values(spark, sf, START, END), ["portfolio_id"], "day", "total_value")
+    out = risk.risk_metrics(
+        _holdings(spark, sf), data.stock_prices(spark, sf), START, END, series=DAILY_BARS, drawdowns=falls
+    )
+    return rounded(out, volatility=6, sharpe_ratio=6, avg_annual_return=6, max_drawdown=6)
 
 
 @query
 def risk_metrics_annualized(spark, sf):
-    out = risk.risk_metrics(_holdings(spark, sf), data.stock_prices(spark, sf), annualize=True, series=DAILY_BARS)
+    out = risk.risk_metrics(
+        _holdings(spark, sf), data.stock_prices(spark, sf), annualize=True, series=DAILY_BARS, portfolios=data.portfolios(spark, sf)
+    )
     return rounded(out, volatility=6, sharpe_ratio=6, avg_annual_return=6)
 
 
@@ -173,6 +206,25 @@ def fx_multiplier(spark, sf):
     return direct.unionByName(inverse)
 
 
+@query
+def cross_rates(spark, sf):
+    """Every ordered pair of currencies that quotes connect, over as few quotes as possible."""
+    crossed = currency.cross_rates(data.exchange_rates(spark, sf))
+    return crossed.withColumn("path", F.array_join("path", ">"))
+
+
+@query
+def fx_multiplier_cross(spark, sf):
+    """Towards two bases; a currency that no quotes connect has no multiplier."""
+    listed = allocation.securities_view(data.securities(spark, sf)).select("stock_symbol", "quote_currency")
+    listed = listed.union(spark.range(1).select(F.lit("UNQUOTED"), F.lit("XAU")))
+    crossed = currency.cross_rates(data.exchange_rates(spark, sf))
+    towards = [
+        currency.with_cross_multiplier(listed, crossed, base).withColumn("base_currency", F.lit(base)) for base in ("SGD", "USD")
+    ]
+    return towards[0].unionByName(towards[1])
+
+
 @query
 def holdings_base_value(spark, sf):
     return rounded(_base_value(spark, sf), market_value_base=4)
@@ -240,14 +292,17 @@ def equal_allocation(spark, sf):
 def portfolio_metrics(spark, sf):
     held, prices = _holdings(spark, sf), data.stock_prices(spark, sf)
     values = valuation.portfolio_value(valuation.position_values(held, prices), data.portfolios(spark, sf))
-    risks = risk.risk_metrics(held, prices, series=DAILY_BARS)
+    values_by_day = stored(spark, _daily_values(spark, sf), "daily-values")
+    falls = drawdown.max_drawdown(values_by_day, ["portfolio_id"], "day", "total_value")
+    risks = risk.risk_metrics(held, prices, series=DAILY_BARS, drawdowns=falls, portfolios=data.portfolios(spark, sf))
     realized = (
         holdings.weighted_holdings(data.transactions(spark, sf), bucket="month", keep_closed=True)
         .groupBy("portfolio_id")
         .agg(F.sum("realized_gain").alias("realized_gains"))
     )
-    out = risk.portfolio_metrics(values, risks, realized, "2002-01-01").drop("daily_return_pct")
-    return rounded(out, realized_gains=0, volatility=6, sharpe_ratio=6)
+    out = risk.portfolio_metrics(values, risks, realized, "2002-01-01", daily.latest_return(values_by_day))
+    digits = {"realized_gains": 2, "volatility": 6, "sharpe_ratio": 6, "max_drawdown_pct": 6, "daily_return_pct": 6}
+    return rounded(out, **digits)
 
 
 # Indicators
@@ -263,6 +318,19 @@ def ema_simple(spark, sf):
     return indicators.ema(_closes(spark, sf), series=DAILY_BARS)
 
 
+@query
+def ema_recursive(spark, sf):
+    """With weights that decay for ever, over daily bars."""
+    return rounded(recursive.ema_recursive(_closes(spark, sf)), ema_12=4, ema_26=4)
+
+
+@query
+def macd_recursive_ticks(spark, sf):
+    """Over dense series in blocks of about a thousand rows, each continued from the one before."""
+    out = recursive.macd_recursive(_tick_closes(spark, sf), block_rows=1_000)
+    return rounded(out, ema_12=4, ema_26=4, macd=4, macd_signal=4)
+
+
 @query
 def rsi(spark, sf):
     return indicators.rsi(_closes(spark, sf), zero_loss="hundred", series=DAILY_BARS)
@@ -308,10 +376,10 @@ def store_indicators(spark, sf):
     """Stored twice: the second write changes nothing."""
     lake = Lake(scratch_dir(spark, "indicators"))
     table = lake["technical_indicators"]
-    rows = indicators.indicator_rows(data.tick_prices(spark, sf), TICKS)
+    rows = indicators.indicator_rows(data.tick_prices(spark, sf), SHORT_BLOCKS)
     table.upsert(spark, rows)
     table.upsert(spark, table.read(spark).drop("day"))
-    return table.read(spark).select("stock_symbol", "timestamp", "sma_20", "sma_50", "sma_200", "ema_12", "rsi_14")
+    return rounded(table.read(spark).drop("day"), macd_signal=3, bollinger_upper=3, bollinger_lower=3)
 
 
 # Bars, latest rows, as-of
@@ -378,7 +446,6 @@ def asof_join(spark, sf):
         "before",
         "timestamp",
         {"previous_close": "close", "previous_date": "timestamp"},
-        bucket="quarter",
     )
     return found.drop("before")
 
@@ -388,9 +455,17 @@ def asof_join_events(spark, sf):
     """Each event with its user's last purchase value so far."""
     events = data.raw(spark, sf, "events").select("event_id", "user_id", "ts", "event_type", "value")
     bought = events.where(F.col("event_type") == "purchase")
-    return latest.asof_join(
-        events.select("event_id", "user_id", "ts"), bought, ["user_id"], "ts", "ts", {"last_purchase": "value"}, "day"
-    )
+    return latest.asof_join(events.select("event_id", "user_id", "ts"), bought, ["user_id"], "ts", "ts", {"last_purchase": "value"})
+
+
+@query
+def asof_join_one_key(spark, sf):
+    """Each tick with the last close of a symbol's own day before, all rows under one key cut into blocks."""
+    one = F.lit("all").alias("market")
+    ticks = data.raw(spark, sf, "events").select(one, "event_id", "ts")
+    errors = data.raw(spark, sf, "events").where(F.col("event_type") == "error").select(one, "ts", "event_id", "value")
+    found = {"error_id": "event_id", "error_value": "value"}
+    return latest.asof_join(ticks, errors, ["market"], "ts", "ts", found, block_rows=1_000).drop("market")
 
 
 @query

@@ -126,7 +126,7 @@ def test_snapshot_needs_fourteen_closes(spark):
         assert (labels["FLAT"].rsi_signal, labels["FLAT"].trend_signal) == ("neutral", "bearish")
 
 
-@pytest.mark.parametrize("series", [DAILY_BARS, Series(block_rows=3), Series(bucket="month", block_rows=100)])
+@pytest.mark.parametrize("series", [DAILY_BARS, Series(block_rows=3), Series(bucket="month", block_rows=100), Series(bucket="quantiles", block_rows=80)])
 def test_returns(spark, walk, series):
     got = {(r.stock_symbol, r.timestamp): r.daily_return for r in risk.daily_returns(prices(spark, walk), series).collect()}
     want = {}
@@ -137,8 +137,8 @@ def test_returns(spark, walk, series):
     assert got == pytest.approx(want)
 
 
-@pytest.mark.parametrize("bucket", ["hour", "day", "month", "year"])
-def test_asof_join_by_brute_force(spark, walk, bucket):
+@pytest.mark.parametrize("block_rows", [1_000_000, 300, 10])
+def test_asof_join_by_brute_force(spark, walk, block_rows):
     rng = random.Random(5)
     asks = [(i, rng.choice(["HOT", "A", "B", "Z"]), datetime(2023, 12, 25) + timedelta(hours=rng.randint(0, 40000))) for i in range(300)]
     asks += [(1000 + i, s, at) for i, (s, at, _) in enumerate(walk[::50])]
@@ -146,7 +146,7 @@ def test_asof_join_by_brute_force(spark, walk, bucket):
     got = {
         r.id: (r.close, r.seen)
         for r in latest.asof_join(
-            left, prices(spark, walk), ["stock_symbol"], "at", "timestamp", {"close": "close", "seen": "timestamp"}, bucket
+            left, prices(spark, walk), ["stock_symbol"], "at", "timestamp", {"close": "close", "seen": "timestamp"}, block_rows
         ).collect()
     }
     assert len(got) == len(asks)
