@@ -18,7 +18,7 @@ from ledgerlark.llm.text import LOWER, mixed, segments, text_bytes, word_hashes
 
 LEAST, HIGHEST, WORDS, SHARE = 10, 2_000, 3, 50
 #: Bytes of text whose suffixes are sorted together.
-SPAN = 1 << 22
+SPAN = 1 << 21
 #: Runs of pointers up to this length are finished by numpy's own sort.
 SHORT = 1 << 12
 #: Bits of the filter of frequent phrases: a bound, 8 MB, whatever the corpus; false hits only cost time.
