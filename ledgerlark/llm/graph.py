@@ -52,24 +52,28 @@ def beside(df: DataFrame, small: DataFrame, on: str, rows: int, most: int = 1_00
     return df.join(F.broadcast(small) if rows <= most else small, on)
 
 
+#: Times that the members of open keys meet a leader before they meet one another.
+LEADERS = 3
+
+
 def clusters(
     spark: SparkSession,
     rows: DataFrame,
     confirm: Callable[[DataFrame], DataFrame],
+    sets: Callable[[DataFrame], DataFrame],
+    percent: int,
     once: bool = False,
-    measure: Callable[[DataFrame], DataFrame] | None = None,
-    percent: int = 80,
 ) -> DataFrame:
     """(node, component), as ``components``, of the nodes that share a key in ``rows`` (key, node) and are confirmed.
 
-    ``confirm`` takes distinct candidate pairs (a, b) and returns those that are linked, written. First
-    each node meets one leader in each key it has, the node that meets most others over all its keys: among
-    the copies of one original that is the original, or the copy closest to the rest. So a key with
-    thousands of alike nodes costs a pair for each. Then, only in keys that still hold more than one component, nodes of different
-    components meet. Every pair that shares a key is thus either joined or compared; none is capped.
-    ``measure`` adds to rows (leader, node) the sizes of both sets' overlap, ``c``, and of the node's set,
-    ``n``, and the node's elements ``outside`` the leader's set; with it, ``open_pairs`` leaves out pairs that can't
-    reach ``percent``.
+    ``confirm`` takes distinct candidate pairs (a, b) and returns those that are linked, written: those whose sets
+    have a Jaccard similarity of ``percent`` per cent or more. ``sets`` takes nodes (node) and returns (node,
+    hashes), their sets without repeats. First each node meets one leader in each key it has, the node that meets most others over
+    all its keys: among the copies of one original that is the original, or the copy closest to the rest. So
+    a key with thousands of alike nodes costs a pair for each. In keys that still hold more than one component,
+    nodes outside the leader's component meet a leader of their own, LEADERS times at most. What is then
+    open meets by the rare elements of its sets (``open_pairs``). Every pair that shares a key and can be linked
+    is thus joined or compared; none is capped.
     ``once`` deals ``rows`` out a single time and counts over windows, where rows are costly to make or
     many; otherwise counts combine on the map side and adaptive execution may split the join with them.
     """
@@ -81,97 +85,72 @@ def clusters(
         counted = rows.join(met, "key")
     counted = written(spark, counted, "members")
     hubs = counted.groupBy("node").agg(F.sum("met").alias("hub"))
-    ranked = counted.select("key", "node").join(hubs, "node")
-    leaders = ranked.groupBy("key").agg(F.max_by("node", "hub").alias("leader"))
-    members = written(spark, counted.select("key", "node").join(leaders, "key"), "led")
-    tried = members.where("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
-    links = confirm(tried)
-    joined = components(spark, links)
-
-    placed = members.join(joined, "node", "left")
-    placed = placed.select("key", "leader", "node", F.coalesce("component", "node").alias("part"))
-    mixed_keys = placed.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
-    placed = written(spark, placed.join(mixed_keys.select("key"), "key"), "open")
-    if measure is None:
-        left, right = (placed.select("key", F.col("node").alias(n), F.col("part").alias(f"part_{n}")) for n in "ab")
-        across = left.join(right, "key").where("part_a < part_b").select("a", "b").distinct()
-    else:
-        across = open_pairs(spark, placed, measure, percent)
-    # A pair that met as (member, leader) has been decided; the order of its ends may differ.
-    again = tried.union(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    more = confirm(across.join(again, ["a", "b"], "left_anti"))
+    members = counted.select("key", "node").join(hubs, "node")
+    links = tried = None
+    for turn in range(LEADERS):
+        if turn:
+            # Members outside the last leader's component, in keys that have such.
+            members = members.where("part != top").select("key", "node", "hub")
+        leaders = members.groupBy("key").agg(F.max_by("node", "hub").alias("leader"))
+        members = written(spark, members.select("key", "node", "hub").join(leaders, "key"), "led")
+        pairs = members.where("node != leader").select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct()
+        pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = written(spark, pairs, "tried")
+        tried = pairs if tried is None else tried.union(pairs)
+        new = confirm(pairs)
+        links = new if links is None else links.union(new)
+        joined = components(spark, links)
+        members = members.drop("part", "top").join(joined, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+        tops = members.where("node = leader").select("key", F.col("part").alias("top"))
+        members = written(spark, members.join(tops, "key"), "placed")
+        if turn == 0:
+            mixed_keys = members.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
+            first = written(spark, members.join(mixed_keys.select("key"), "key").select("key", "node"), "open")
+        if not members.where("part != top").limit(1).count():
+            break
+    # A key is open if it was after the first leaders and has more than one component now.
+    part = F.coalesce("component", "node")
+    parts = first.join(joined, "node", "left").select("key", "node", part.alias("part"))
+    spread = parts.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.mode("part").alias("top")).where("lo < hi")
+    parts = parts.join(spread.select("key", "top"), "key")
+    # Of two nodes of different parts in a key, one at least is outside its commonest part.
+    nodes = parts.groupBy("node").agg(F.first("part").alias("part"), F.max((F.col("part") != F.col("top")).cast("int")).alias("outer"))
+    nodes = written(spark, nodes, "open-nodes")
+    across = open_pairs(spark, nodes, sets(nodes.select("node")), percent)
+    more = confirm(across.join(tried, ["a", "b"], "left_anti"))
     return components(spark, links.union(more))
 
 
-def open_pairs(
-    spark: SparkSession, placed: DataFrame, measure: Callable[[DataFrame], DataFrame], percent: int
-) -> DataFrame:
-    """The pairs of ``placed`` (key, leader, node, part) of different parts that share a key and may be linked.
-
-    Two sets x and y that both were compared with a leader L share at most min(|x & L|, |y & L|) elements
-    inside L. So with a Jaccard similarity of t = ``percent`` per cent either they share an element outside L,
-    or |x| + |y| <= min(|x & L|, |y & L|) * (1 + t) / t, which few sets reach that aren't linked with L. Variants
-    of one original differ from it each in their own way, so neither joins many of them. As this holds for any
-    set L, elements that many of a leader's nodes have count as the leader's. Each node goes by the leader with most nodes
-    that has half of its set, and else by itself; nodes of one leader meet as said, nodes of different leaders
-    wherever they share a key. Where the elements that a leader's nodes share would make more rows
-    than their pairs, they meet by key too. So no pair that can be linked is left out.
+def open_pairs(spark: SparkSession, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a > b) of ``nodes`` (node, part, outer), of different parts and one at least outer, that may be linked.
+
+    Each set of ``sets`` (node, hashes) is ordered from its rarest to its commonest element. Two sets of n >= m
+    elements with a Jaccard similarity of t = ``percent`` per cent share t / (1 + t) * (n + m) elements, so their
+    first common element has at most that much less than n and m elements before it. An element at a place with r
+    elements from it on admits partners of at most r * (1 + t) / t - n elements. Elements with their places meet by equal
+    element and by a step of sizes, of which the larger set takes all that its place admits. So the members of a
+    family, who differ from it each in their own elements, don't meet at what the family shares, and no
+    pair that can be linked is left out. Elements that only one set has are counted, not joined.
     """
-    ratio = (100 + percent) / percent
-    led = placed.where("node != leader").select("leader", "node").distinct()
-    balls = written(spark, measure(led), "balls").where("2 * c >= n")
-    sizes = balls.groupBy("leader").agg(F.count("*").alias("all"))
-    own = balls.select("leader", "node").join(sizes, "leader")
-    own = own.groupBy("node").agg(F.max(F.struct("all", "leader")).alias("best"))
-    own = written(spark, own.select("node", F.col("best.leader").alias("leader")), "own")
-    parts = placed.select("node", "part").distinct()
-    tops = parts.select(F.col("node").alias("leader"), F.col("part").alias("top"))
-    # Of two nodes of different parts, one at least is outside the leader's part.
-    near = balls.join(own, ["leader", "node"]).join(parts, "node").join(tops, "leader", "left")
-    near = near.withColumn("outer", ~F.col("part").eqNullSafe(F.col("top")))
-    near = written(spark, near.select("leader", "node", "part", "outer", "n", "c", "outside"), "near")
-
-    counts = [F.count("*").alias("met"), F.sum(F.col("outer").cast("long")).alias("outers")]
-    sizes = near.groupBy("leader").agg(*counts).select("leader", F.col("met").alias("all"), (F.col("met") * F.col("outers")).alias("most"))
-    tokens = near.select("leader", "node", "part", "outer", F.explode("outside").alias("token"))
-    tokens = tokens.withColumn("token", F.xxhash64("leader", "token"))
-    shared = tokens.groupBy("token").agg(*counts, F.first("leader").alias("leader")).where("met > 1")
-    shared = written(spark, shared.join(sizes, "leader").withColumn("popular", F.expr("met * met > all")), "tokens")
-    costs = shared.where("not popular").groupBy("leader", "most").agg(F.sum(F.expr("met * outers")).alias("cost"))
-    crowded = written(spark, costs.where("cost > most").select("leader"), "crowded")
-    usual = shared.where("popular or outers > 0").join(crowded, "leader", "left_anti").select("token", "popular")
-    usual = written(spark, usual, "usual")
-    alike = written(spark, beside(tokens.select("token", "node", "part", "outer"), usual, "token", usual.count()), "alike")
-    inside = alike.where("popular").groupBy("node").agg(F.count("*").alias("more"))
-    near = near.drop("outside").join(inside, "node", "left").withColumn("c", F.col("c") + F.coalesce("more", F.lit(0)))
-    alike = alike.where("not popular")
-
-    def either(l: str, r: str) -> list[Column]:
-        return [F.least(l, r).alias("a"), F.greatest(l, r).alias("b")]
-
-    one = alike.where("outer").select("token", F.col("node").alias("x"), F.col("part").alias("p"))
-    other = alike.select("token", F.col("node").alias("y"), F.col("part").alias("q"))
-    pairs = one.join(other, "token").where("p != q").select(*either("x", "y")).distinct()
-
-    # Sizes go by steps of about a hundredth: x meets y if 100 |y| >= percent |x| and |y| <= ratio |x & L| - |x|.
-    low = F.greatest(F.col("n") * (percent / 100) - 1, F.lit(1.0))
-    high = F.col("c") * ratio - F.col("n") + 1
-    fit = near.where(high >= low).withColumn("low", low).withColumn("high", high)
-    step = "cast(floor(100 * ln({})) as long)"
-    one = fit.where("outer").selectExpr(
-        "leader", "node AS x", "part AS p", "n AS n_x", "c AS c_x",
-        f"explode(sequence({step.format('low')}, {step.format('high')})) AS size",
-    )
-    other = fit.selectExpr("leader", "node AS y", "part AS q", "n AS n_y", "c AS c_y", f"{step.format('n')} AS size")
-    fits = (F.col("p") != F.col("q")) & (F.col("n_x") + F.col("n_y") <= F.least("c_x", "c_y") * ratio + 1e-6)
-    pairs = pairs.union(one.join(other, ["leader", "size"]).where(fits).select(*either("x", "y")))
-
-    settled = own.join(crowded, "leader", "left_anti").withColumnRenamed("leader", "best")
-    by_key = placed.join(settled, "node", "left").select("key", "node", "part", F.coalesce("best", "node").alias("best"))
-    # In each key the nodes of its commonest leader needn't meet one another.
-    usual = by_key.groupBy("key").agg(F.mode("best").alias("usual"))
-    by_key = written(spark, by_key.join(usual, "key"), "by_key")
-    one = by_key.where("best != usual").select("key", *(F.col(c).alias(f"{c}_x") for c in ("node", "part", "best")))
-    other = by_key.select("key", *(F.col(c).alias(f"{c}_y") for c in ("node", "part", "best")))
-    apart = one.join(other, "key").where("part_x != part_y and best_x != best_y")
-    return pairs.union(apart.select(*either("node_x", "node_y"))).distinct()
+    step = "cast(floor(20 * ln({})) as int)"
+    tokens = sets.select("node", F.size("hashes").alias("n"), F.explode("hashes").alias("token"))
+    counts = tokens.groupBy("token").agg(F.count("*").alias("met")).where("met > 1")
+    common = tokens.join(counts, "token").groupBy("node", "n")
+    common = common.agg(F.sort_array(F.collect_list(F.struct("met", "token"))).alias("common"))
+    least = F.expr(f"cast(ceil(n * {percent} / 100) as int)")
+    # Places count from 0; an element later than n - least can't be the first of enough.
+    common = common.withColumn("single", F.col("n") - F.size("common")).withColumn("least", least)
+    prefix = F.slice("common", F.lit(1), F.greatest(F.lit(0), F.col("n") - F.col("least") + 1 - F.col("single")))
+    places = common.select("node", "n", "single", "least", F.posexplode(prefix).alias("at", "element"))
+    most = F.floor((F.col("n") - F.col("single") - F.col("at")) * ((100 + percent) / percent) - F.col("n") + 1e-6)
+    places = places.select("node", "n", "least", F.col("element.token").alias("token"), most.alias("most")).where("most >= least")
+    places = written(spark, places.join(nodes, "node"), "places")
+    # The smaller set's place must admit sets of its own size at least, the larger one takes the steps below it.
+    small = places.where("most >= n").selectExpr("token", f"{step.format('n')} AS size", "node AS y", "part AS q", "n AS m", "most AS most_y", "outer AS outer_y")
+    sizes = f"explode(sequence({step.format('least')}, {step.format('least(n, most)')}))"
+    large = places.selectExpr("token", f"{sizes} AS size", "node AS x", "part AS p", "n", "least", "most", "outer")
+    fits = "p != q and m <= n and m >= least and m <= most and n <= most_y and (m < n or x != y)"
+    ends = [F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")]
+    one = large.join(small.where("outer_y = 1"), ["token", "size"]).where(fits).select(*ends)
+    other = large.where("outer = 1").join(small.where("outer_y = 0"), ["token", "size"]).where(fits).select(*ends)
+    return one.union(other).distinct()

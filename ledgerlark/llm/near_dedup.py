@@ -132,9 +132,9 @@ def near_copies(
     are linked, and a component is everything that links connect. Equal sets meet first, so copies cost
     one row each afterwards. The sketches of the different sets are HyperMinHash registers; ROWS of them
     form each of BANDS band keys, which makes a missed pair at 0.75 a matter of 3 in a million. Sets of
-    one bucket are compared with the bucket's first set; then, only in buckets that still hold more than
-    one component, across components. So a bucket of thousands of near copies yields a row each, and no
-    pair that shares a bucket is left out. Pairs whose corrected estimate is more than five standard
+    one bucket are compared with a leader of the bucket; then, only in buckets that still hold more than
+    one component, with leaders of the rest and at last by the rare shingles of their full sets. So a bucket of
+    thousands of near copies yields a row each, and no pair that shares a bucket is left out. Pairs whose corrected estimate is more than five standard
     errors below the threshold go; the others are decided on their full sets.
 
     Texts without words have no shingles and link with nothing: they are their own component. A null text
@@ -155,7 +155,13 @@ def near_copies(
         "nodes",
     )
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    joined = clusters(spark, band_rows(nodes), lambda pairs: confirmed(spark, pairs, nodes, texts, percent))
+    joined = clusters(
+        spark,
+        band_rows(nodes),
+        lambda pairs: confirmed(spark, pairs, nodes, texts, percent),
+        lambda wanted: sets_of(wanted, nodes, texts),
+        percent,
+    )
     parts = nodes.join(joined, "node", "left").select(
         "node", F.coalesce("component", "node").alias("part"), "first_id"
     )
@@ -188,16 +194,20 @@ def confirmed(
         "likely",
     )
     wanted = likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct()
-    holders = wanted.join(nodes.select("node", "first_id"), "node").select("node", F.col("first_id").alias("doc_id"))
-    named = texts.join(holders, "doc_id").select("node", "text")
-    # A repeated doc_id may bring other texts: the set must have the node's own name.
-    sets = written(spark, own_sets(named), "shingle_sets")
+    sets = written(spark, sets_of(wanted, nodes, texts), "shingle_sets")
     compared = likely.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("h_a")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("hashes").alias("h_b")), "b"
     )
     return written(spark, compared.where(linked(percent)).select("a", "b"), "links")
 
 
+def sets_of(wanted: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, hashes) of the nodes ``wanted``, from a text that has each."""
+    holders = wanted.join(nodes.select("node", "first_id"), "node").select("node", F.col("first_id").alias("doc_id"))
+    # A repeated doc_id may bring other texts: the set must have the node's own name.
+    return own_sets(texts.join(holders, "doc_id").select("node", "text"))
+
+
 def own_sets(named: DataFrame) -> DataFrame:
     """(node, hashes), one row per node, of the texts whose set has that name."""
 

@@ -138,21 +138,22 @@ def search(
     idf = F.log(1 + (count - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighted = asked.join(frequencies, "term").select("query_id", "term", (F.col("qtf") * idf).alias("weight"))
     weighted = written(spark, weighted, "weights")
-    ids = [r[0] for r in weighted.select("query_id").distinct().orderBy("query_id").collect()]
+    # Blocks by a hash of the query's id: about QUERIES each, without listing the ids.
+    blocks = -(-weighted.select("query_id").distinct().count() // QUERIES)
+    weighted = weighted.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(max(blocks, 1))))
     schema = "query_id long, doc_id long, score double"
     found = spark.createDataFrame([], schema)
-    for at in range(0, len(ids), QUERIES):
-        lo, hi = ids[at], ids[min(at + QUERIES, len(ids)) - 1]
-        block = weighted.where(F.col("query_id").between(lo, hi)).orderBy("query_id", "term").toPandas()
-        terms = block["term"].to_numpy().view(np.uint64)
+    for at in range(blocks):
+        block = weighted.where(F.col("block") == at).select("query_id", "term", "weight").toArrow().sort_by([("query_id", "ascending"), ("term", "ascending")])
+        query_ids, terms, weights = (block.column(i).to_numpy() for i in range(3))
+        terms = terms.view(np.uint64)
         wanted = np.unique(terms)
-        names, first = np.unique(block["query_id"].to_numpy(), return_index=True)
-        # At most QUERIES texts' distinct words.
-        shared = spark.sparkContext.broadcast(
-            (wanted, names, np.append(first, len(block)), np.searchsorted(wanted, terms), block["weight"].to_numpy())
-        )
+        names, first = np.unique(query_ids, return_index=True)
+        # The distinct words of about QUERIES texts.
+        shared = spark.sparkContext.broadcast((wanted, names, np.append(first, len(query_ids)), np.searchsorted(wanted, terms), weights))
         answer = answered(shared, words / count, k)
         found = found.union(written(spark, rows.mapInArrow(answer, schema), "found"))
+        shared.destroy()
     ranked = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")).cast("int")
     return found.withColumn("rank", ranked).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
 

@@ -1,39 +1,61 @@
-"""Pairs that the comparison with a leader leaves open, against brute force."""
+"""Pairs that leaders leave open, against brute force, and their number in a family whose members differ each in their own way."""
 
 from __future__ import annotations
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.graph import open_pairs
+from ledgerlark.llm.graph import clusters, open_pairs, written
 
 
-def test_open_pairs_lose_no_link(spark):
+def alike(x, y, percent):
+    return 100 * len(x & y) >= percent * len(x | y)
+
+
+@pytest.mark.parametrize("percent", [75, 80])
+def test_open_pairs_lose_no_link(spark, percent):
     rnd = random.Random(5)
     origin, poor = list(range(60)), list(range(1000, 1060))
     sets = {0: set(origin), 1: set(poor)}
-    for node in range(2, 90):
+    for node in range(2, 150):
         base = list(rnd.choice((origin, origin, poor)))
         for at in rnd.sample(range(60), rnd.choice((2, 5, 7, 9, 14))):
             base[at] = rnd.choice((at * 10 + 5000, at * 10 + 5001, rnd.randrange(10_000, 90_000)))
-        sets[node] = set(base[rnd.randrange(8) :])
-    alike = lambda a, b: 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
-    leaders = {"k": 0, "m": 7, "p": 1}
-    rows = [(key, top, n) for key, top in leaders.items() for n in sets if n == top or key == "k" or n % 3 == len(key + str(top)) % 3]
-    joined = lambda n: 0 if n and alike(n, 0) else n
-    placed = spark.createDataFrame([(k, t, n, joined(n)) for k, t, n in rows], "key string, leader long, node long, part long")
-    table = spark.createDataFrame([(n, sorted(s)) for n, s in sets.items()], "id long, s array<long>")
-
-    def measure(balls):
-        met = balls.join(table.select(F.col("id").alias("node"), F.col("s").alias("x")), "node")
-        met = met.join(table.select(F.col("id").alias("leader"), F.col("s").alias("y")), "leader")
-        met = met.withColumn("n", F.size("x")).withColumn("outside", F.array_except("x", "y"))
-        return met.withColumn("c", F.col("n") - F.size("outside")).drop("x", "y")
-
-    got = {tuple(r) for r in open_pairs(spark, placed, measure, 80).collect()}
-    tried = {(min(n, t), max(n, t)) for _, t, n in rows}
-    keys = {n: {k for k, _, m in rows if m == n} for n in sets}
-    pairs = {(a, b) for a in sets for b in sets if a < b and joined(a) != joined(b) and keys[a] & keys[b]} - tried
-    links = {p for p in pairs if alike(*p)}
-    assert links and links <= got
+        sets[node] = set(base[rnd.randrange(30) :])
+    parts = {n: 0 if alike(s, sets[0], percent) else n for n, s in sets.items()}
+    outer = {n: int(p != 0) for n, p in parts.items()}
+    nodes = spark.createDataFrame([(n, parts[n], outer[n]) for n in sets], "node long, part long, outer int")
+    table = spark.createDataFrame([(n, sorted(s)) for n, s in sets.items()], "node long, hashes array<long>")
+    got = {tuple(r) for r in open_pairs(spark, nodes, table, percent).collect()}
+    pairs = {(a, b) for a in sets for b in sets if a > b and parts[a] != parts[b]}
+    links = {p for p in pairs if alike(sets[p[0]], sets[p[1]], percent)}
+    assert links and links <= got <= pairs
+
+
+def test_family_of_thousands_makes_few_pairs(spark):
+    """3,000 variants of one text, a third of them too far from it to be linked, none linked with one another."""
+    rnd = random.Random(6)
+    origin = set(range(200))
+    sets = {0: origin}
+    for node in range(1, 3_000):
+        gone = rnd.choice((10, 15, 40))
+        sets[node] = origin - set(rnd.sample(range(200), gone)) | {node * 1_000 + 10_000 + i for i in range(gone)}
+    table = spark.createDataFrame([(n, sorted(s)) for n, s in sets.items()], "node long, hashes array<long>")
+    table = written(spark, table, "sets")
+    compared = []
+
+    def confirm(pairs):
+        pairs = written(spark, pairs, "pairs")
+        compared.append(pairs.count())
+        met = pairs.join(table.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a")
+        met = met.join(table.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
+        common = F.size(F.array_intersect("x", "y"))
+        return written(spark, met.where(100 * common >= 75 * (F.size("x") + F.size("y") - common)).select("a", "b"), "links")
+
+    rows = table.select(F.explode(F.array(F.lit("k"), F.lit("m"))).alias("key"), "node")
+    found = clusters(spark, rows, confirm, lambda wanted: table.join(wanted, "node"), 75).collect()
+    near = {n for n, s in sets.items() if alike(s, origin, 75)}
+    assert {r.node for r in found} == near - {0} and {r.component for r in found} == {0}
+    assert sum(compared) < 12 * len(sets)
