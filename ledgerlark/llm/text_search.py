@@ -145,6 +145,8 @@ def search(
     found = spark.createDataFrame([], schema)
     for at in range(blocks):
         block = weighted.where(F.col("block") == at).select("query_id", "term", "weight").toArrow().sort_by([("query_id", "ascending"), ("term", "ascending")])
+        if not block.num_rows:
+            continue
         query_ids, terms, weights = (block.column(i).to_numpy() for i in range(3))
         terms = terms.view(np.uint64)
         wanted = np.unique(terms)
