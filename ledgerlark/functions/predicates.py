@@ -26,12 +26,14 @@ def in_range(column: str, start: str | None = None, end: str | None = None) -> C
 
 
 def filter_range(df: DataFrame, column: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """``in_range`` plus the same bounds on the derived ``day`` partition column where the table has one,
-    so that only the days asked for are listed and read."""
+    """``in_range`` plus the same bounds on the derived partition column (``day``, ``partition_month`` or
+    ``partition_year``) where the table has one, so that only what is asked for is listed and read."""
     out = df.where(in_range(column, start, end))
-    if "day" in df.columns:
-        if start is not None:
-            out = out.where(F.col("day") >= utc_day(F.lit(start).cast("timestamp")))
-        if end is not None:
-            out = out.where(F.col("day") <= utc_day(F.lit(end).cast("timestamp")))
+    for part, grain in (("day", None), ("partition_month", "month"), ("partition_year", "year")):
+        if part in df.columns:
+            for bound, low in ((start, True), (end, False)):
+                if bound is not None:
+                    day = utc_day(F.lit(bound).cast("timestamp"))
+                    day = day if grain is None else F.trunc(day, grain)
+                    out = out.where(F.col(part) >= day if low else F.col(part) <= day)
     return out

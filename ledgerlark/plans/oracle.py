@@ -376,6 +376,16 @@ _COUNTED = (
 _OPERATIONAL_SECTORS = " UNION ALL ".join(f"SELECT {i + 1} AS id, '{s}' AS name" for i, s in enumerate(SECTORS))
 _OPERATIONAL_MARKETS = " UNION ALL ".join(f"SELECT {i + 1} AS id, '{m}' AS code" for i, m in enumerate(_CODES))
 
+_PUBLISHED = f"""
+SELECT 'stock_prices' AS table_name, stock_symbol AS id, "timestamp" AS at, CAST(close * 100 AS BIGINT) AS amount, volume AS units,
+       CAST(NULL AS VARCHAR) AS label FROM stock_prices
+UNION ALL SELECT 'transactions', transaction_id, transaction_date, CAST(price * 100 AS BIGINT), CAST(quantity AS BIGINT),
+       concat_ws('/', portfolio_id, stock_symbol, transaction_type) FROM transactions
+UNION ALL SELECT 'securities', symbol, NULL, NULL, NULL, concat_ws('/', k.name, COALESCE(g.name, gics_sector_override, sector),
+       replace(lower(g.name), ' ', '_'), m.code, quote_currency)
+  FROM stocks k LEFT JOIN ({_OPERATIONAL_SECTORS}) g ON gics_sector_id = g.id LEFT JOIN ({_OPERATIONAL_MARKETS}) m ON market_id = m.id
+UNION ALL SELECT 'exchange_rates', base_currency || quote_currency, "timestamp", CAST(round(rate * 1000000) AS BIGINT), NULL, NULL FROM rates"""
+
 ORACLE: dict[str, str] = {
     "current_holdings": _sql(
         """SELECT portfolio_id, stock_symbol, CAST(q AS DOUBLE) AS total_quantity, CAST(cost AS DOUBLE) AS total_cost,
@@ -761,14 +771,7 @@ ORACLE: dict[str, str] = {
         "flat",
     ),
     "upsert_prices": _sql(_CORRECTED.format(table="stock_prices"), "stock_prices"),
-    "lake_upsert_prices": _sql(
-        _CORRECTED.format(
-            table="""(SELECT stock_symbol, date_trunc('month', "timestamp") AS "timestamp",
-        arg_max(close, "timestamp") AS close, arg_max(volume, "timestamp") AS volume FROM stock_prices
-        GROUP BY stock_symbol, date_trunc('month', "timestamp"))"""
-        ),
-        "stock_prices",
-    ),
+    "lake_upsert_prices": _sql(_CORRECTED.format(table="stock_prices"), "stock_prices"),
     "upsert_fx": _sql('SELECT base_currency, quote_currency, "timestamp", rate * 2 AS rate FROM rates', "rates"),
     "insert_if_absent": _sql(
         """SELECT base_currency, quote_currency, "timestamp",
@@ -829,9 +832,8 @@ ORACLE: dict[str, str] = {
         "stocks",
     ),
     "export_fx": _sql("SELECT * FROM rates WHERE \"timestamp\" >= TIMESTAMP '2024-01-20'", "rates"),
-    "incremental_export": _sql(
-        'SELECT stock_symbol, "timestamp", CAST(close AS DOUBLE) AS close, volume FROM stock_prices', "stock_prices"
-    ),
+    "incremental_export": _sql(_PUBLISHED, "stock_prices", "transactions", "stocks", "rates"),
+    "full_export": _sql(_PUBLISHED, "stock_prices", "transactions", "stocks", "rates"),
     "full_export_counts": _sql(
         """SELECT 'stock_prices' AS table_name, count(*) AS row_count FROM stock_prices
         UNION ALL SELECT 'transactions', count(*) FROM transactions UNION ALL SELECT 'securities', count(*) FROM stocks
@@ -842,7 +844,7 @@ ORACLE: dict[str, str] = {
         "rates",
     ),
     "etl_run": _sql(
-        f""", daily AS (SELECT upper(stock_symbol) AS s, bucket, close FROM ({_BARS})),
+        """, daily AS (SELECT upper(stock_symbol) AS s, "timestamp" AS bucket, CAST(close AS DOUBLE) AS close FROM ticks),
         bought AS (SELECT s, floor(100000::DOUBLE / n / p) AS q, p FROM (
           SELECT s, any_value(n) AS n, arg_max(close, bucket) AS p FROM daily CROSS JOIN
             (SELECT max(bucket) - INTERVAL 7 DAYS AS bought_at, count(DISTINCT s) AS n FROM daily) WHERE bucket <= bought_at GROUP BY s)

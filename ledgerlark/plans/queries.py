@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -699,10 +700,9 @@ def upsert_prices(spark, sf):
 
 @query
 def lake_upsert_prices(spark, sf):
-    """The same merge in a day-partitioned table, replayed once."""
-    prices = data.stock_prices(spark, sf).withColumn("timestamp", F.date_trunc("month", "timestamp"))
-    prices = upsert.newest_per_key(prices, ["stock_symbol", "timestamp"], "ingestion_timestamp")
-    table = Lake(scratch_dir(spark, "prices"))["stock_prices"]
+    """The same merge of all bars in a table partitioned by year, as days are a few rows, replayed once."""
+    prices = data.stock_prices(spark, sf)
+    table = Lake(scratch_dir(spark, "prices"), "year")["stock_prices"]
     table.replace(prices)
     for _ in range(2):
         table.upsert(spark, _corrections(prices), "ingestion_timestamp")
@@ -798,31 +798,65 @@ def export_fx(spark, sf):
     return export.export_fx(data.operational(spark, sf), start=FX_CUT).drop("ingestion_timestamp")
 
 
+def _published(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The contents of the four published tables as one table of comparable columns."""
+    none, text = F.lit(None), F.lit
+    cents = lambda c: F.rint(F.col(c).cast("double") * 100).cast("bigint")
+    prices = lake["stock_prices"].read(spark).select(
+        text("stock_prices").alias("table_name"), F.col("stock_symbol").alias("id"), F.col("timestamp").alias("at"),
+        cents("close").alias("amount"), F.col("volume").alias("units"), none.cast("string").alias("label"),
+    )
+    trades = lake["transactions"].read(spark).select(
+        text("transactions"), "transaction_id", "transaction_date", cents("price"), F.col("quantity").cast("bigint"),
+        F.concat_ws("/", "portfolio_id", "stock_symbol", "transaction_type"),
+    )
+    listed = lake["securities"].read(spark).select(
+        text("securities"), "stock_symbol", none.cast("timestamp"), none.cast("bigint"), none.cast("bigint"),
+        F.concat_ws("/", "name", "gics_sector", "gics_sector_code", "market_code", "quote_currency"),
+    )
+    rates = lake["exchange_rates"].read(spark).select(
+        text("exchange_rates"), F.concat("base_currency", "quote_currency"), "timestamp", F.rint(F.col("rate") * 1e6).cast("bigint"),
+        none.cast("bigint"), none.cast("string"),
+    )
+    return prices.union(trades).union(listed).union(rates)
+
+
 @query
 def incremental_export(spark, sf):
-    """A table filled up to MID takes over what arrived since its own mark."""
-    rows = export.export_prices(data.operational(spark, sf))
-    stored = rows.where(F.col("ingestion_timestamp") < F.lit(MID).cast("timestamp"))
-    new = export.arrivals(rows, export.high_water_mark(stored))
-    merged = upsert.merge_latest(stored, new, ["stock_symbol", "timestamp"], "ingestion_timestamp")
-    return merged.select("stock_symbol", "timestamp", "close", "volume")
+    """The job over all four tables of a lake: what arrived by MID first, then what arrived since each table's mark."""
+    lake = Lake(scratch_dir(spark, "lake"), "year")
+    source = data.operational(spark, sf)
+    early = replace(
+        source, **{t: getattr(source, t).where(F.col("created_at") < F.lit(MID).cast("timestamp")) for t in ("stock_prices", "transactions")}
+    )
+    export.incremental_export(spark, early, lake)
+    export.incremental_export(spark, source, lake)
+    return _published(spark, lake)
 
 
 @query
 def full_export_counts(spark, sf):
-    """Everything published to a lake, the export run twice, rows counted per table."""
-    lake = Lake(scratch_dir(spark, "lake"))
-    source = data.operational_by_year(spark, sf)
+    """Everything published to a lake at its real times, the export run twice, rows counted per table."""
+    lake = Lake(scratch_dir(spark, "lake"), "year")
+    source = data.operational(spark, sf)
     for _ in range(2):
         export.full_export(spark, source, lake)
     names = ("stock_prices", "transactions", "securities", "exchange_rates")
     return reports.table_counts({n: lake[n].read(spark) for n in names})
 
 
+@query
+def full_export(spark, sf):
+    """The same lake's contents."""
+    lake = Lake(scratch_dir(spark, "lake"), "year")
+    export.full_export(spark, data.operational(spark, sf), lake)
+    return _published(spark, lake)
+
+
 @query
 def etl_run(spark, sf):
-    """The whole load: feed to tables, equal-cash purchases, weighted holdings, totals."""
-    ticks = bars.rollup_bars(data.tick_prices(spark, sf)).withColumnRenamed("bucket", "timestamp")
+    """The whole load of every tick: feed to tables, equal-cash purchases, weighted holdings, totals."""
+    ticks = data.tick_prices(spark, sf)
     pair_of = F.create_map(*[F.lit(x) for kv in data.PAIRS.items() for x in kv])
     rates = ticks.select(
         F.concat(F.try_element_at(pair_of, F.col("stock_symbol")), F.lit("=X")).alias("stock_symbol"),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -209,21 +208,6 @@ def stocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def operational_by_year(spark: SparkSession, sf_dir: str) -> Operational:
-    """The operational tables with times cut to years, so that few day folders are written."""
-    source = operational(spark, sf_dir)
-
-    def yearly(df: DataFrame, column: str) -> DataFrame:
-        return df.withColumn(column, F.date_trunc("year", column))
-
-    return replace(
-        source,
-        stock_prices=yearly(source.stock_prices, "timestamp"),
-        transactions=yearly(source.transactions, "transaction_date"),
-        exchange_rates=yearly(source.exchange_rates, "timestamp"),
-    )
-
-
 def operational(spark: SparkSession, sf_dir: str) -> Operational:
     stock_id = F.concat(F.lit("stk-"), F.substring_index("stock_symbol", "#", -1)).alias("stock_id")
     prices, trades = stock_prices(spark, sf_dir), transactions(spark, sf_dir)

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,29 +37,39 @@ def drop_folder(spark: SparkSession, path: str) -> None:
 class LakeTable:
     """A table of declared schema at ``path``.
 
-    Time tables carry a derived ``day`` partition column. Writes are rebalanced by day, so that big
-    days become several files and small ones share tasks, and sorted by key inside files.
+    Time tables carry a derived ``day`` partition column; with ``grain`` "month" or "year", for tables whose days hold
+    too few rows for a folder each, it is ``partition_month`` or ``partition_year``, the first day of either. Writes
+    are rebalanced by it, so that big days become several files and small ones share tasks, and sorted by key
+    inside files. What is said of days below holds for months or years then.
     """
 
     spec: TableSpec
     path: str
+    grain: str = "day"
+
+    @property
+    def part(self) -> str:
+        return DAY if self.grain == "day" else f"partition_{self.grain}"
+
+    def part_of(self, at: Column) -> Column:
+        return utc_day(at) if self.grain == "day" else F.trunc(utc_day(at), self.grain)
 
     def _on_disk(self) -> T.StructType:
         fields = [T.StructField(f.name, f.dataType, True) for f in self.spec.schema.fields]
-        return T.StructType(fields + ([T.StructField(DAY, T.DateType(), True)] if self.spec.day_of else []))
+        return T.StructType(fields + ([T.StructField(self.part, T.DateType(), True)] if self.spec.day_of else []))
 
     def _write(self, df: DataFrame, mode: str, only_days_written: bool = False) -> int:
         """Write and return the number of rows written, without those marked as not new."""
         schema = T.StructType(self.spec.schema.fields + [T.StructField("_new", T.BooleanType(), True)])
         out = conform(df, schema)
         if self.spec.day_of is not None:
-            out = out.withColumn(DAY, utc_day(F.col(self.spec.day_of)))
-            out = out.hint("rebalance", DAY).sortWithinPartitions(DAY, *self.spec.key)
+            out = out.withColumn(self.part, self.part_of(F.col(self.spec.day_of)))
+            out = out.hint("rebalance", self.part).sortWithinPartitions(self.part, *self.spec.key)
         counted = Observation()
         fresh = F.count_if(F.coalesce("_new", F.lit(True))).alias("rows")
         writer = out.observe(counted, fresh).drop("_new").write.mode(mode)
         if self.spec.day_of is not None:
-            writer = writer.partitionBy(DAY)
+            writer = writer.partitionBy(self.part)
             writer = writer.option("partitionOverwriteMode", "dynamic" if only_days_written else "static")
         writer.parquet(self.path)
         return counted.get["rows"]
@@ -97,18 +107,18 @@ class LakeTable:
     def _replace_days(self, spark: SparkSession, near: DataFrame, merged: DataFrame) -> int:
         """Replace the days of ``near`` by ``merged``. Days left without rows are dropped after the
         write; their names are all that reaches the driver."""
-        left = merged.select(utc_day(F.col(self.spec.day_of)).alias(DAY))
-        emptied = near.select(DAY).distinct().join(left, DAY, "left_anti")
-        gone = [row[DAY].isoformat() for row in emptied.collect()]
+        left = merged.select(self.part_of(F.col(self.spec.day_of)).alias(self.part))
+        emptied = near.select(self.part).distinct().join(left, self.part, "left_anti")
+        gone = [row[self.part].isoformat() for row in emptied.collect()]
         written = self._write(merged, "overwrite", only_days_written=True)
         for day in gone:
-            drop_folder(spark, f"{self.path}/{DAY}={day}")
+            drop_folder(spark, f"{self.path}/{self.part}={day}")
         return written
 
     def _near(self, existing: DataFrame, days: DataFrame) -> DataFrame:
         """Existing rows of some days. The list of days is as short as the calendar, so broadcasting
         it is safe and lets the scan skip the other partitions."""
-        return existing.join(F.broadcast(days.distinct()), DAY, "left_semi")
+        return existing.join(F.broadcast(days.distinct()), self.part, "left_semi")
 
     def upsert(self, spark: SparkSession, batch: DataFrame, order: str | None = None) -> int:
         """Last write wins per key. Only the days concerned are rewritten; replaying a batch changes
@@ -119,16 +129,16 @@ class LakeTable:
             new = newest.withColumn("_new", F.lit(True))
 
             def merged(stored: DataFrame) -> DataFrame:
-                kept = stored.drop(DAY).join(newest.select(*key), key, "left_anti")
+                kept = stored.drop(self.part).join(newest.select(*key), key, "left_anti")
                 return kept.withColumn("_new", F.lit(False)).unionByName(new)
 
             if self.spec.day_of is None:
                 return self._swap(spark, merged(existing))
-            days = newest.select(utc_day(F.col(self.spec.day_of)).alias(DAY))
+            days = newest.select(self.part_of(F.col(self.spec.day_of)).alias(self.part))
             if self.spec.day_of in key:
                 return self._write(merged(self._near(existing, days)), "overwrite", only_days_written=True)
             # The key says nothing about the day, so a row may have moved: its old day counts too.
-            held = existing.join(newest.select(*key), key, "left_semi").select(DAY)
+            held = existing.join(newest.select(*key), key, "left_semi").select(self.part)
             near = self._near(existing, days.unionByName(held))
             return self._replace_days(spark, near, merged(near))
 
@@ -137,7 +147,7 @@ class LakeTable:
         with self._staged(spark, conform(batch, self.spec.schema)) as rows:
             stored = self.read(spark)
             if self.spec.day_of in self.spec.key:
-                stored = self._near(stored, rows.select(utc_day(F.col(self.spec.day_of)).alias(DAY)))
+                stored = self._near(stored, rows.select(self.part_of(F.col(self.spec.day_of)).alias(self.part)))
             return self._write(absent_rows(stored, rows, self.spec.key, order), "append")
 
     def delete(self, spark: SparkSession, keys: DataFrame) -> None:
@@ -148,12 +158,12 @@ class LakeTable:
             if self.spec.day_of is None:
                 self._swap(spark, existing.join(gone, key, "left_anti"))
                 return
-            near = self._near(existing, existing.join(gone, key, "left_semi").select(DAY))
-            self._replace_days(spark, near, near.drop(DAY).join(gone, key, "left_anti"))
+            near = self._near(existing, existing.join(gone, key, "left_semi").select(self.part))
+            self._replace_days(spark, near, near.drop(self.part).join(gone, key, "left_anti"))
 
     def _swap(self, spark: SparkSession, df: DataFrame) -> int:
         """Rewrite an unpartitioned table that ``df`` reads: write beside it, then exchange the folders."""
-        fresh = LakeTable(self.spec, f"{self.path}.next")
+        fresh = LakeTable(self.spec, f"{self.path}.next", self.grain)
         written = fresh.replace(df)
         target, files = _folder(spark, self.path)
         files.delete(target, True)
@@ -168,8 +178,8 @@ class LakeTable:
 class Lake:
     """The declared tables below one root folder."""
 
-    def __init__(self, root: str):
-        self.tables = {name: LakeTable(spec, f"{root.rstrip('/')}/{name}") for name, spec in TABLES.items()}
+    def __init__(self, root: str, grain: str = "day"):
+        self.tables = {name: LakeTable(spec, f"{root.rstrip('/')}/{name}", grain) for name, spec in TABLES.items()}
 
     def __getitem__(self, name: str) -> LakeTable:
         return self.tables[name]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -32,10 +32,9 @@ def bars_table(path: str) -> LakeTable:
     return LakeTable(BARS, path)
 
 
-def streaming_bars(prices: DataFrame, interval: str = "1 day", lateness: str = LATENESS) -> DataFrame:
-    """``rollup_bars`` on a stream. State is one row per symbol and open bucket; buckets close once the
-    newest time seen is ``lateness`` past them, and rows later than that are dropped."""
-    return rollup_bars(prices.withWatermark("timestamp", lateness), interval)
+def _newest(spark: SparkSession, folder: str):
+    """The newest time noted in ``folder``; None without any."""
+    return spark.read.parquet(folder).agg(F.max("newest")).first()[0] if folder_exists(spark, folder) else None
 
 
 def maintain_bars(
@@ -43,36 +42,48 @@ def maintain_bars(
 ) -> StreamingQuery:
     """Materialise the bars at ``path`` from all rows that have arrived, in any order and any micro-batches.
 
-    The first run takes the whole history. Later ones leave aside rows more than ``lateness`` older than the
-    newest row stored when the run began; they go to the folder ``path`` + "-late", where they can be counted.
+    The first run takes the whole history. Runs after it leave aside rows more than ``lateness`` older than the
+    newest row of the runs that have ended before; these go to the folder ``path`` + "-late", where they can be
+    counted. A run that fails leaves no such mark, so it is gone on with as it began: the result is the same
+    for any point of failure and any number of files a batch. With ``once`` the call returns when the run has ended; a
+    continuous query takes as mark what it has stored in earlier batches, once a first run has ended.
 
-    A micro-batch stores its rows beside the table, by the day their bucket begins, names the days it touched, and
-    recomputes those days' bars from everything stored for them; a replayed batch replaces its own rows. The days of a batch are as few as the calendar has.
+    A micro-batch stores its rows beside the table in a folder per day their bucket begins and, in it, per batch, and
+    recomputes those days' bars from everything stored for them, reading no other day; a replayed batch
+    replaces its own rows. The days of a batch, all that reaches the driver, are as few as the calendar has.
     """
-    spark, arrivals = prices.sparkSession, f"{path}-arrivals"
-    newest = None
-    if folder_exists(spark, arrivals):
-        newest = spark.read.parquet(arrivals).agg(F.max("timestamp")).first()[0]
-    since = F.lit(newest) - F.expr(f"INTERVAL {lateness}")
-    late = F.lit(False) if newest is None else F.col("timestamp") < since
+    spark, arrivals, marks, seen = prices.sparkSession, f"{path}-arrivals", f"{path}-marks", f"{path}-seen"
+    mark = _newest(spark, marks)
 
     def merge(batch: DataFrame, number: int) -> None:
         if batch.isEmpty():
             return
-        spark, folder = batch.sparkSession, f"{arrivals}/batch={number}"
+        spark, bound = batch.sparkSession, mark
+        if not once and mark is not None:
+            bound = max(filter(None, (mark, _newest(spark, f"{seen}/before={number}"))))
         begun = F.window("timestamp", interval)["start"]
-        if newest is not None:
+        if bound is not None:
+            late = F.col("timestamp") < F.lit(bound) - F.expr(f"INTERVAL {lateness}")
             batch.where(late).write.mode("overwrite").parquet(f"{path}-late/batch={number}")
-            batch = batch.where(~late)
-            if batch.isEmpty():
-                return
-        batch.withColumn("begun", utc_day(begun)).write.mode("overwrite").partitionBy("begun").parquet(folder)
-        touched = spark.read.parquet(folder).select("begun").distinct()
-        near = spark.read.parquet(arrivals).join(touched, "begun", "left_semi")
-        bars_table(path).upsert(spark, rollup_bars(near.select(batch.columns), interval))
+            batch = batch.where(~late | F.col("timestamp").isNull())
+        newest = batch.agg(F.max("timestamp").alias("newest"))
+        kept = _newest(spark, f"{seen}/before={number}")
+        newest.select(F.greatest("newest", F.lit(kept).cast("timestamp")).alias("newest")).write.mode("overwrite").parquet(f"{seen}/before={number + 1}")
+        dated = batch.withColumn("begun", utc_day(begun)).withColumn("batch", F.lit(number)).where("begun is not null")
+        writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("begun", "batch").parquet(arrivals)
+        days = [row.begun.isoformat() for row in dated.select("begun").distinct().collect()]
+        if days:
+            near = spark.read.option("basePath", arrivals).parquet(*[f"{arrivals}/begun={day}" for day in days])
+            bars_table(path).upsert(spark, rollup_bars(near.select(*prices.columns), interval))
 
     writer = prices.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if once else writer).start()
+    query = (writer.trigger(availableNow=True) if once else writer).start()
+    if once:
+        query.awaitTermination()
+        if folder_exists(spark, seen):
+            spark.read.parquet(seen).agg(F.max("newest").alias("newest")).write.mode("append").parquet(marks)
+    return query
 
 
 def bars_from_stream_files(stream: DataFrame) -> DataFrame:

@@ -134,3 +134,31 @@ def test_upsert_from_another_time_zone_meets_its_row(spark, tmp_path):
         assert [float(r.close) for r in table.read(spark).collect()] == [2.0]
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+@pytest.mark.parametrize("fail_at", [1, 2, 3])
+def test_backfill_goes_on_after_a_crash(spark, tmp_path, monkeypatch, fail_at):
+    """Days 20, 1 and 9 in a batch each; whichever batch fails, the run that follows has all three bars."""
+    source, table, marks = str(tmp_path / "in"), str(tmp_path / "bars"), str(tmp_path / "marks")
+    for n, d in enumerate((20, 1, 9)):
+        land(prices(spark, [("A", day(d, 3), 10.0 + n)]), source, str(n))
+    merges, upsert = [], stream_bars.LakeTable.upsert
+
+    def failing(self, *given, **named):
+        merges.append(1)
+        if len(merges) == fail_at:
+            raise RuntimeError("lost")
+        return upsert(self, *given, **named)
+
+    monkeypatch.setattr(stream_bars.LakeTable, "upsert", failing)
+    with pytest.raises(Exception):
+        stream_bars.maintain_bars(stream(spark, STOCK_PRICES, source), table, marks)
+    stream_bars.maintain_bars(stream(spark, STOCK_PRICES, source), table, marks)
+    got = {r.bucket for r in stream_bars.bars_table(table).read(spark).collect()}
+    assert got == {day(1), day(9), day(20)}
+    # The backfill has ended: what is later than the bound is left aside and can be counted.
+    land(prices(spark, [("A", day(2, 3), 7.0), ("A", day(19, 3), 7.0)]), source, "late")
+    stream_bars.maintain_bars(stream(spark, STOCK_PRICES, source), table, marks)
+    got = {r.bucket for r in stream_bars.bars_table(table).read(spark).collect()}
+    assert got == {day(1), day(9), day(19), day(20)}
+    assert spark.read.option("recursiveFileLookup", True).parquet(f"{table}-late").count() == 1
