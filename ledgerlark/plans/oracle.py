@@ -753,6 +753,32 @@ ORACLE: dict[str, str] = {
         WHERE close IS NOT NULL AND open IS NULL""",
         "feed",
     ),
+    "landed_feed": _sql(
+        """SELECT stock_symbol, "timestamp", CAST(close AS DOUBLE) AS open, CAST(close AS DOUBLE) AS high, CAST(close AS DOUBLE) AS low,
+        CAST(close AS DOUBLE) AS close, CAST(volume AS DOUBLE) AS volume FROM ticks
+        WHERE volume % 19 <> 3 AND volume % 23 <> 5 AND volume % 29 <> 2""",
+        "ticks",
+    ),
+    "quarantined_feed": _sql(
+        """SELECT stock_symbol, reason, count(*) AS records FROM (
+          SELECT CASE WHEN volume % 19 = 3 OR volume % 23 = 5 THEN upper(stock_symbol) END AS stock_symbol,
+                 CASE WHEN volume % 19 = 3 OR volume % 23 = 5 THEN 'malformed' ELSE 'no symbol' END AS reason FROM ticks
+          WHERE volume % 19 = 3 OR volume % 23 = 5 OR volume % 29 = 2) GROUP BY ALL""",
+        "ticks",
+    ),
+    "landed_source": _sql(
+        """SELECT stock_symbol, "timestamp", CAST(close AS DOUBLE) AS open, CAST(close AS DOUBLE) AS high, CAST(close AS DOUBLE) AS low,
+        CAST(close AS DOUBLE) AS close, CAST(volume AS DOUBLE) AS volume FROM ticks WHERE stock_symbol = 'click' AND close >= 20""",
+        "ticks",
+    ),
+    "landed_source_stream": _sql(
+        """SELECT upper(stock_symbol) AS stock_symbol, "timestamp", CAST(close AS DOUBLE) AS close, volume FROM ticks""", "ticks"
+    ),
+    "stream_dedup_prices": _sql(
+        """SELECT stock_symbol, "timestamp", CAST(CASE WHEN volume % 7 = 1 THEN close + 1 ELSE close END AS DOUBLE) AS close, volume
+        FROM ticks""",
+        "ticks",
+    ),
     "wide_feed": _sql(
         f"""SELECT bucket AS "timestamp", stock_symbol, open, high, low, close, CAST(volume AS DOUBLE) AS volume
         FROM ({_BARS})""",

@@ -18,7 +18,7 @@ from ledgerlark.operators import recursive, reports, risk, upsert, valuation
 from ledgerlark.operators.series import DAILY_BARS, QUANTILES, Series
 from ledgerlark.plans import etl, export
 from ledgerlark.schemas import TRANSACTIONS
-from ledgerlark.sources import feeds, watchlist
+from ledgerlark.sources import feeds, landed, watchlist
 from ledgerlark.sources import fixtures as data
 from ledgerlark.sources.tables import Lake
 from ledgerlark.streaming import bars as stream_bars
@@ -431,6 +431,23 @@ def stream_upsert_prices(spark, sf):
     return table.read(spark).select("stock_symbol", "timestamp", "close", "volume")
 
 
+@query
+def stream_dedup_prices(spark, sf):
+    """A stream in which every tick comes twice and some are corrected: the merge sees each of them once."""
+    ticks = data.ticks_of(_event_stream(spark, sf, "events"))
+    prices = stream_bars.bars_from_stream_files(ticks).withColumns(
+        {"adjusted_close": F.col("close"), "ingestion_timestamp": F.col("timestamp")}
+    )
+    later = F.col("ingestion_timestamp") + F.expr("INTERVAL 1 MINUTE")
+    again = prices.withColumn("ingestion_timestamp", later)
+    corrected = again.where("volume % 7 = 1").withColumn("close", (F.col("close") + 1).cast("decimal(20,6)")).withColumn("ingestion_timestamp", later)
+    fresh = sinks.without_repeats(prices.union(again).union(corrected), "timestamp", "400 days")
+    root = scratch_dir(spark, "ticks")
+    table = Lake(root)["stock_prices"]
+    sinks.stream_upsert(fresh, table, f"{root}/checkpoint", "ingestion_timestamp").awaitTermination()
+    return table.read(spark).select("stock_symbol", "timestamp", "close", "volume")
+
+
 @query
 def asof_join(spark, sf):
     """Each trade with the last close of an earlier day."""
@@ -596,6 +613,62 @@ def rejected_rows(spark, sf):
     return feeds.rejected_rows(_feed(spark, sf)).select("stock_symbol", "timestamp", "close", "volume")
 
 
+def _landed(spark: SparkSession, sf: str) -> str:
+    """Every tick as a line of a landed file, some of them broken, and the folder they are in."""
+    shown = F.format_string("%s,%s,%s,%s,%s,%s,%d", "stock_symbol", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), *["close"] * 4, "volume")
+    line = (
+        F.when(F.col("volume") % 19 == 3, F.replace(shown, F.concat(F.lit(","), F.col("volume").cast("string")), F.lit(",many")))
+        .when(F.col("volume") % 23 == 5, F.concat_ws(",", "stock_symbol", F.lit("x")))
+        .when(F.col("volume") % 29 == 2, F.concat(F.lit(","), F.substring_index(shown, ",", -6)))
+        .otherwise(shown)
+    )
+    folder = scratch_dir(spark, "landed")
+    ticks = data.tick_prices(spark, sf).withColumn("close", F.col("close").cast("decimal(12,2)"))
+    ticks.select(line.alias("value")).write.text(folder)
+    return folder
+
+
+@query
+def landed_feed(spark, sf):
+    """What of the landed lines can be loaded, at the precision of the feed."""
+    rows, _ = feeds.read_landed(spark, _landed(spark, sf))
+    return rows
+
+
+@query
+def quarantined_feed(spark, sf):
+    """What can't, by symbol and reason."""
+    _, broken = feeds.read_landed(spark, _landed(spark, sf))
+    return broken.groupBy("stock_symbol", "reason").agg(F.count(F.lit(1)).alias("records"))
+
+
+def _landed_parquet(spark: SparkSession, sf: str) -> str:
+    folder = scratch_dir(spark, "landed")
+    ticks = data.tick_prices(spark, sf)
+    ticks.select(*[F.col(f.name).cast(f.dataType) for f in feeds.FEED.fields]).repartition(4, "stock_symbol").write.parquet(folder)
+    return folder
+
+
+@query
+def landed_source(spark, sf):
+    """Landed files through the data source, with two filters that reach it."""
+    landed.register(spark)
+    rows = spark.read.format("landed_prices").load(_landed_parquet(spark, sf))
+    return rows.where((F.col("stock_symbol") == "click") & (F.col("close") >= 20.0))
+
+
+@query
+def landed_source_stream(spark, sf):
+    """The same files as a stream, merged into a table."""
+    landed.register(spark)
+    rows = spark.readStream.format("landed_prices").load(_landed_parquet(spark, sf))
+    root = scratch_dir(spark, "ticks")
+    table = Lake(root)["stock_prices"]
+    prices = feeds.normalize_ohlcv(rows).withColumn("ingestion_timestamp", F.col("timestamp"))
+    sinks.stream_upsert(prices, table, f"{root}/checkpoint", "ingestion_timestamp").awaitTermination()
+    return table.read(spark).select("stock_symbol", "timestamp", "close", "volume")
+
+
 @query
 def wide_feed(spark, sf):
     """Daily bars spread to a column per ticker and field, then back to rows."""

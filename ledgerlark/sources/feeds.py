@@ -32,6 +32,33 @@ def stream_feed(spark: SparkSession, path: str, fmt: str = "csv", files_per_batc
     return reader.option("header", True).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
 
 
+def read_landed(spark: SparkSession, path: str, fmt: str = "csv", header: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(rows, quarantine) of landed feed files, in which a broken record costs itself only.
+
+    Rows have the columns of FEED. The quarantine has file, stock_symbol (as far as it can be read, in upper case), reason
+    and record: ``malformed`` for a record that isn't of the declared form, which is too short or long, or holds
+    what isn't a number or time; ``no symbol``, ``no time`` and ``no close`` for well-formed ones that can't be used. Every
+    record is in one of the two. Empty lines are none; files without records give nothing.
+    """
+    corrupt = "_record"
+    schema = T.StructType([*FEED.fields, T.StructField(corrupt, T.StringType())])
+    reader = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt)
+    reader = reader.option("header", header) if fmt == "csv" else reader
+    landed = reader.format(fmt).load(path).withColumn("file", F.col("_metadata.file_name"))
+    # A record is malformed by any of its fields, so all are read, whichever are asked for: no field holds a NUL.
+    whole = F.concat(*[F.col(c).cast("string") for c in FEED.fieldNames()])
+    reason = (
+        F.when(F.col(corrupt).isNotNull() | (whole == "\0"), "malformed")
+        .when(F.trim("stock_symbol").isNull() | (F.trim("stock_symbol") == ""), "no symbol")
+        .when(F.col("timestamp").isNull(), "no time")
+        .when(F.col("close").isNull() | F.isnan("close"), "no close")
+    )
+    judged = landed.withColumn("reason", reason)
+    record = F.coalesce(corrupt, F.to_json(F.struct(*FEED.fieldNames())))
+    broken = judged.where("reason is not null").select("file", F.when(F.trim("stock_symbol") != "", F.upper("stock_symbol")).alias("stock_symbol"), "reason", record.alias("record"))
+    return judged.where("reason is null").select(*FEED.fieldNames()), broken
+
+
 def wide_to_long(wide: DataFrame, symbols: Sequence[str], separator: str = "_") -> DataFrame:
     """One row per time and ticker from columns named ``<ticker><separator><field>``.
 
