@@ -86,7 +86,8 @@ def three_way(pointers: np.ndarray, depth_words: list[np.ndarray]) -> tuple[np.n
             place += len(run)
         else:
             key = depth_words[depth][run]
-            pivot = np.partition(key[:: max(1, len(key) // 31)], 15)[15]
+            some = key[:: max(1, len(key) // 31)]
+            pivot = np.partition(some, len(some) // 2)[len(some) // 2]
             less, equal = key < pivot, key == pivot
             stack.append((run[~(less | equal)], depth))
             stack.append((run[equal], depth + 1))
