@@ -114,13 +114,15 @@ def region_allocation(valued: DataFrame) -> DataFrame:
     )
 
 
-def equal_cash_purchases(prices: DataFrame, symbols: DataFrame, cash: float, days_back: int = 7) -> DataFrame:
-    """BUY rows that spread ``cash`` evenly over the symbols that have a price.
+def equal_cash_purchases(prices: DataFrame, symbols: DataFrame | None, cash: float, days_back: int = 7) -> DataFrame:
+    """BUY rows that spread ``cash`` evenly over the ``symbols`` (all if None) that have a price.
 
     All are bought ``days_back`` days before the latest price of any of them, at the last close by
     then and in whole shares; symbols without such a price, or too dear for one share, get no row.
     """
-    wanted = prices.join(symbols.select("stock_symbol").distinct(), "stock_symbol", "left_semi")
+    wanted = prices
+    if symbols is not None:
+        wanted = prices.join(symbols.select("stock_symbol").distinct(), "stock_symbol", "left_semi")
     newest = latest_by(wanted, ["stock_symbol"], "timestamp", {"last_seen": "timestamp"})
     # A one-row subquery: the purchase date and the number of symbols sharing the cash.
     back = F.expr(f"INTERVAL {int(days_back)} DAYS")

@@ -233,12 +233,19 @@ def weighted_holdings(
     return out if keep_closed else out.where(F.col("quantity") > 0)
 
 
-def holdings_listing(holdings: DataFrame, portfolios: DataFrame) -> DataFrame:
-    """Stored positions with portfolio names and quantity * average cost, by name and symbol."""
+def holdings_listing(holdings: DataFrame, portfolios: DataFrame, stocks: DataFrame | None = None) -> DataFrame:
+    """Stored positions with portfolio names and quantity * average cost, by name and symbol.
+
+    With ``stocks`` (symbol, name) also the stock's name; positions in symbols that aren't listed drop out.
+    """
+    listed, stock_name = holdings.join(portfolios, "portfolio_id"), []
+    if stocks is not None:
+        names = stocks.select(F.col("symbol").alias("stock_symbol"), F.col("name").alias("stock_name"))
+        listed, stock_name = listed.join(names, "stock_symbol"), ["stock_name"]
     return (
-        holdings.join(portfolios, "portfolio_id")
-        .select(
+        listed.select(
             "name",
+            *stock_name,
             "stock_symbol",
             "quantity",
             "average_cost",

@@ -50,14 +50,19 @@ def coalesce_update(
     columns: dict[str, str],
     now: str | None = None,
     touched: str = "updated_at",
+    only_with_values: bool = False,
 ) -> DataFrame:
     """Per matched row, non-NULL update values win and the ``touched`` time moves.
 
-    ``columns`` maps target columns to update columns; ``updates`` has one row per key.
+    ``columns`` maps target columns to update columns. Updates that repeat a key are one: of each column the
+    greatest value. Updates with a null key match nothing. With ``only_with_values`` an update
+    without any value doesn't count as one.
     """
     stamp = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
-    new = updates.select(
-        key, *[F.col(c).alias(f"_new_{target}") for target, c in columns.items()], F.lit(True).alias("_hit")
+    if only_with_values:
+        updates = updates.dropna(how="all", subset=list(set(columns.values())))
+    new = updates.groupBy(key).agg(
+        *[F.max(c).alias(f"_new_{target}") for target, c in columns.items()], F.lit(True).alias("_hit")
     )
     changes = {t: F.coalesce(F.col(f"_new_{t}"), F.col(t)) for t in columns}
     if touched in existing.columns:
@@ -70,6 +75,22 @@ def delete_by_ids(existing: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return existing.join(ids.select(key), key, "left_anti")
 
 
+def update_by_ids(existing: DataFrame, updates: DataFrame, key: str, now: str | None = None) -> DataFrame:
+    """Rows whose key is among ``updates`` with all columns that ``updates`` has, NULLs included; the newest by all columns of updates that repeat a key."""
+    columns = [c for c in updates.columns if c != key]
+    stamp = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
+    new = newest_per_key(updates, [key]).select(key, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_hit"))
+    changes = {c: F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)) for c in columns}
+    if "updated_at" in existing.columns and "updated_at" not in columns:
+        changes["updated_at"] = F.when(F.col("_hit"), stamp).otherwise(F.col("updated_at"))
+    return existing.join(new, key, "left").withColumns(changes).select(*existing.columns)
+
+
+def first_rows(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """The ``rows`` rows with the smallest keys."""
+    return df.orderBy(key).limit(rows)
+
+
 def select_by_id(df: DataFrame, key: str, value: object) -> DataFrame:
     return df.where(F.col(key) == F.lit(value))
 
@@ -96,7 +117,7 @@ def register_securities(
     ``requested`` has stock_symbol plus optional market_code, country_code, quote_currency,
     gics_sector_code and gics_sector_override. For new symbols without a market code, market,
     country and currency come from the ticker suffix; the currency defaults to USD. Known symbols
-    take over the non-NULL metadata. ``sectors`` and ``markets`` map codes to ids.
+    take over the non-NULL metadata; those without any stay as they are. ``sectors`` and ``markets`` map codes to ids.
     """
     stamp = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
     asked = requested.select(
@@ -112,7 +133,7 @@ def register_securities(
     market_ids = markets.select(F.col("code").alias("market_code"), F.col("id").alias("market_id"))
 
     known = asked.join(sector_ids, "gics_sector_code", "left").join(market_ids, "market_code", "left")
-    updated = coalesce_update(stocks, known, "symbol", METADATA_COLUMNS, now)
+    updated = coalesce_update(stocks, known, "symbol", METADATA_COLUMNS, now, only_with_values=True)
 
     inferred = infer_market(F.col("symbol"))
     has_market = F.col("market_code").isNotNull()

@@ -534,11 +534,12 @@ ORACLE: dict[str, str] = {
         "positions",
     ),
     "holdings_listing": _sql(
-        """SELECT name, stock_symbol, quantity, round(average_cost, 6) AS average_cost,
+        """SELECT p.name, k.name AS stock_name, stock_symbol, quantity, round(average_cost, 6) AS average_cost,
         round(quantity * average_cost, 2) AS total_cost
-        FROM weighted w JOIN portfolios p ON w.portfolio_id = p.portfolio_id""",
+        FROM weighted w JOIN portfolios p ON w.portfolio_id = p.portfolio_id JOIN stocks k ON k.symbol = w.stock_symbol""",
         "weighted",
         "portfolios",
+        "stocks",
     ),
     "equal_allocation": _sql(
         """SELECT stock_symbol, 'BUY' AS transaction_type, quantity, CAST(price AS DOUBLE) AS price, bought_at AS transaction_date
@@ -804,6 +805,21 @@ ORACLE: dict[str, str] = {
         CASE WHEN "timestamp" < TIMESTAMP '2024-01-20' THEN rate ELSE rate * 2 END AS rate FROM rates""",
         "rates",
     ),
+    "update_by_ids": _sql(
+        """SELECT id, symbol, CASE WHEN hit THEN 'Changed' ELSE sector END AS sector,
+        CASE WHEN NOT hit THEN quote_currency END AS quote_currency,
+        CASE WHEN hit THEN TIMESTAMP '2024-03-01' ELSE updated_at END AS updated_at
+        FROM (SELECT *, CAST(split_part(id, '-', 2) AS INTEGER) % 3 = 0 AS hit FROM stocks)""",
+        "stocks",
+    ),
+    "stored_writes": _sql(
+        """SELECT base_currency, quote_currency, "timestamp",
+        CASE WHEN "timestamp" < TIMESTAMP '2024-01-20' THEN rate ELSE rate * 2 END AS rate FROM rates WHERE base_currency <> 'NZD'
+        UNION ALL SELECT 'appended', NULL, NULL, count(*) FROM rates WHERE "timestamp" < TIMESTAMP '2024-01-20'
+        UNION ALL SELECT 'inserted', NULL, NULL, count(*) FROM rates WHERE "timestamp" >= TIMESTAMP '2024-01-20'
+        UNION ALL SELECT 'all left', NULL, NULL, 0""",
+        "rates",
+    ),
     "coalesce_update": _sql(
         """SELECT k.id, k.symbol, COALESCE(s.gics_sector, k.sector) AS sector,
         COALESCE(s.quote_currency, k.quote_currency) AS quote_currency,

@@ -279,14 +279,13 @@ def holdings_totals_rollup(spark, sf):
 
 @query
 def holdings_listing(spark, sf):
-    out = holdings.holdings_listing(_weighted(spark, sf), data.portfolios(spark, sf))
+    out = holdings.holdings_listing(_weighted(spark, sf), data.portfolios(spark, sf), data.stocks(spark, sf))
     return rounded(out, average_cost=6, total_cost=2)
 
 
 @query
 def equal_allocation(spark, sf):
-    prices = data.stock_prices(spark, sf)
-    return allocation.equal_cash_purchases(prices, prices.select("stock_symbol"), 2_000_000.0)
+    return allocation.equal_cash_purchases(data.stock_prices(spark, sf), None, 2_000_000.0)
 
 
 @query
@@ -847,6 +846,34 @@ def delete_by_ids(spark, sf):
     return upsert.delete_by_ids(trades, ids, "transaction_id").select("transaction_id", "portfolio_id", "quantity")
 
 
+@query
+def update_by_ids(spark, sf):
+    """Every third stock gets a new sector and loses its currency; some updates come twice, some for unknown ids."""
+    stocks = data.stocks(spark, sf)
+    number = F.substring_index("id", "-", -1).cast("int")
+    changed = stocks.where(number % 3 == 0).select("id", F.lit("Changed").alias("sector"), F.lit(None).cast("string").alias("quote_currency"))
+    updates = changed.union(changed).union(spark.range(1).select(F.lit("stk-none"), F.lit("x"), F.lit("y")))
+    out = upsert.update_by_ids(stocks, updates, "id", "2024-03-01")
+    return out.select("id", "symbol", "sector", "quote_currency", "updated_at")
+
+
+@query
+def stored_writes(spark, sf):
+    """Rates appended, others inserted if absent, some deleted: the table's contents and the rows each write counted."""
+    table = Lake(scratch_dir(spark, "rates"), "month")["exchange_rates"]
+    rates = data.exchange_rates(spark, sf)
+    early = F.col("timestamp") < F.lit(FX_CUT).cast("timestamp")
+    appended = table.append(rates.where(early))
+    inserted = table.insert_absent(spark, rates.withColumn("rate", F.col("rate") * 2))
+    table.delete(spark, rates.where(F.col("base_currency") == "NZD"))
+    whole = table.verify_count(spark, appended + inserted)
+    counts = [("appended", appended), ("inserted", inserted), ("all left", int(whole))]
+    written = spark.createDataFrame(counts, "base_currency string, n bigint").select(
+        "base_currency", F.lit(None).cast("string").alias("quote_currency"), F.lit(None).cast("timestamp").alias("timestamp"), F.col("n").cast("double").alias("rate")
+    )
+    return table.read(spark).select(*FX_KEY, "rate").union(written.select(*FX_KEY, "rate"))
+
+
 # Published tables
 
 
