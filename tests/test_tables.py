@@ -1,3 +1,5 @@
+from datetime import datetime
+
 import pytest
 from helpers import day, prices, sample_trades, trades
 from pyspark.sql import functions as F
@@ -142,3 +144,32 @@ def test_catalog_names(spark):
     finally:
         catalog.drop_all(spark, "portfolio_db")
     assert catalog.list_tables(spark, "portfolio_db") == []
+
+
+def test_coarser_folders_hold_the_same_rows(spark, tmp_path):
+    rows = [("A", day(d), float(d)) for d in (1, 2, 20)] + [("B", datetime(2023, 12, 31, 23), 9.0)]
+    for grain, folders in (("day", 4), ("month", 2), ("year", 2)):
+        table = Lake(str(tmp_path / grain), grain)["stock_prices"]
+        table.replace(prices(spark, rows))
+        assert table.upsert(spark, prices(spark, [("A", day(2), 7.0), ("C", day(3), 1.0)])) == 2
+        assert table.insert_absent(spark, prices(spark, [("A", day(1), 99.0), ("D", day(1), 4.0)])) == 1
+        table.delete(spark, spark.createDataFrame([("B", datetime(2023, 12, 31, 23))], "stock_symbol string, timestamp timestamp"))
+        got = {(r.stock_symbol, r.timestamp): float(r.close) for r in table.read(spark).collect()}
+        assert got == {("A", day(1)): 1.0, ("A", day(2)): 7.0, ("A", day(20)): 20.0, ("C", day(3)): 1.0, ("D", day(1)): 4.0}
+        left = [p for p in (tmp_path / grain / "stock_prices").iterdir() if p.name.startswith(table.part)]
+        assert len(left) == {"day": 4, "month": 1, "year": 1}[grain] and folders >= len(left)
+        some = filter_range(table.read(spark), "timestamp", "2024-01-02", "2024-01-19")
+        assert sorted(float(r.close) for r in some.collect()) == [1.0, 7.0]
+
+
+def test_updates_that_repeat_a_key(spark):
+    old = spark.createDataFrame([("a", "x", 1), ("b", "y", 2), ("c", None, 3)], "k string, c string, d int")
+    new = spark.createDataFrame([("a", "p", None), ("a", "q", None), ("b", None, None), (None, "z", 9), ("n", "z", 9)], "k string, c string, d int")
+    merged = {r.k: (r.c, r.d) for r in upsert.coalesce_update(old, new, "k", {"c": "c", "d": "d"}).collect()}
+    assert merged == {"a": ("q", 1), "b": ("y", 2), "c": (None, 3)}
+    by_id = {r.k: (r.c, r.d) for r in upsert.update_by_ids(old, new, "k").collect()}
+    assert by_id == {"a": ("q", None), "b": (None, None), "c": (None, 3)}
+    timed = old.withColumn("updated_at", F.lit(day(1)))
+    touched = {r.k: r.updated_at for r in upsert.coalesce_update(timed, new, "k", {"c": "c"}, "2024-01-09", only_with_values=True).collect()}
+    assert touched == {"a": day(9), "b": day(1), "c": day(1)}
+    assert [r.k for r in upsert.first_rows(old, "k", 2).collect()] == ["a", "b"]
