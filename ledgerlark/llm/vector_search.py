@@ -28,11 +28,13 @@ BLOCK, REGION = 2_048, 8_192
 def usable(table: DataFrame, vec_id: str, vector: str) -> DataFrame:
     """(id, v: array<double>) of the vectors that take part: of the commonest length, finite and not zero."""
     rows = table.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
-    rows = rows.where("id is not null and v is not null and size(v) > 1")
+    rows = rows.where("id is not null and v is not null and size(v) > 0")
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = rows.where(~bad & F.exists("v", lambda x: x != 0))
     longest = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("c")).orderBy(F.desc("c"), "d").first()
-    return rows.where(F.size("v") == (longest["d"] if longest else 0))
+    rows = rows.where(F.size("v") == (longest["d"] if longest else 0))
+    # The index needs two halves; a component of 0 leaves inner products as they are.
+    return rows.withColumn("v", F.concat("v", F.array(F.lit(0.0)))) if longest and longest["d"] == 1 else rows
 
 
 def centroids(points: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
