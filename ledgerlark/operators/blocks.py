@@ -23,7 +23,7 @@ BROADCAST_ROWS = 50_000
 def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """``df`` written below the shared scratch folder and read again, so that every later use sees the same rows."""
     path = scratch_dir(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

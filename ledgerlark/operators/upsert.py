@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.symbols import DEFAULT_CURRENCY, infer_market
+from ledgerlark.operators.blocks import BROADCAST_ROWS
 
 
 def newest_per_key(batch: DataFrame, key: Sequence[str], order: str | None = None) -> DataFrame:
@@ -23,6 +24,22 @@ def newest_per_key(batch: DataFrame, key: Sequence[str], order: str | None = Non
     return best.select(*key, *[F.col("_best")[c].alias(c) for c in ranked]).select(*batch.columns)
 
 
+def repeated_digests(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``_digest`` of every key that occurs more than once, and of keys that share one: a number a row is shuffled."""
+    counted = rows.select(F.xxhash64(*key).alias("_digest")).groupBy("_digest").agg(F.count(F.lit(1)).alias("_n"))
+    return counted.where("_n > 1").select("_digest")
+
+
+def newest_of_repeated(rows: DataFrame, key: Sequence[str], order: str | None, repeats: int) -> DataFrame:
+    """``newest_per_key`` of stored ``rows`` of which ``repeated_digests`` gave ``repeats``; while those are few, other rows stay where they are."""
+    if repeats > BROADCAST_ROWS:
+        return newest_per_key(rows, key, order)
+    again = F.broadcast(repeated_digests(rows, key))
+    marked = rows.withColumn("_digest", F.xxhash64(*key))
+    several = marked.join(again, "_digest", "left_semi").drop("_digest")
+    return marked.join(again, "_digest", "left_anti").drop("_digest").unionByName(newest_per_key(several, key, order))
+
+
 def merge_latest(existing: DataFrame, batch: DataFrame, key: Sequence[str], order: str | None = None) -> DataFrame:
     """Upsert: batch rows replace existing ones of their key; within the batch the last write wins."""
     newest = newest_per_key(batch, key, order)

@@ -85,7 +85,9 @@ def transactions_of(spark: SparkSession, sf_dir: str, order_lines: DataFrame) ->
     returned lines are sales."""
     orders = raw(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     customers = raw(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-    lines = _branded(spark, sf_dir, order_lines).join(orders, "l_orderkey").join(customers, "o_custkey")
+    # Orders meet their customers first, so that lines, which are the most, are not dealt out for those again.
+    owners = orders.join(customers, "o_custkey").drop("o_custkey")
+    lines = _branded(spark, sf_dir, order_lines).join(owners, "l_orderkey")
     identity = F.concat_ws(
         "-",
         "l_orderkey",

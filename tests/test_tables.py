@@ -1,7 +1,7 @@
 from datetime import datetime
 
 import pytest
-from helpers import day, prices, sample_trades, trades
+from helpers import day, plan, prices, sample_trades, trades
 from pyspark.sql import functions as F
 
 from ledgerlark.functions.predicates import filter_range
@@ -9,7 +9,7 @@ from ledgerlark.operators import upsert
 from ledgerlark.schemas import STOCK_PRICES, TABLES, conform
 from ledgerlark.sources import catalog
 from ledgerlark.sources.jdbc import JdbcSource
-from ledgerlark.sources.tables import Lake
+from ledgerlark.sources.tables import Lake, LakeTable
 
 
 @pytest.fixture()
@@ -173,3 +173,29 @@ def test_updates_that_repeat_a_key(spark):
     touched = {r.k: r.updated_at for r in upsert.coalesce_update(timed, new, "k", {"c": "c"}, "2024-01-09", only_with_values=True).collect()}
     assert touched == {"a": day(9), "b": day(1), "c": day(1)}
     assert [r.k for r in upsert.first_rows(old, "k", 2).collect()] == ["a", "b"]
+
+
+def test_merges_deal_out_no_rows_whose_keys_do_not_repeat(spark, tmp_path, monkeypatch):
+    """Neither the first load nor a replay shuffles whole rows by key; repeats, moved rows and untouched ones come out right."""
+    seen, written, staged = [], LakeTable._write, LakeTable._staged
+    monkeypatch.setattr(LakeTable, "_write", lambda self, df, *a, **b: seen.append(plan(df)) or written(self, df, *a, **b))
+    monkeypatch.setattr(LakeTable, "_staged", lambda self, spark, rows: seen.append(plan(rows)) or staged(self, spark, rows))
+    for grain in ("day", "month", "year"):
+        table = Lake(str(tmp_path / grain), grain)["transactions"]
+        for _ in range(2):
+            seen.clear()
+            assert table.upsert(spark, sample_trades(spark), "ingestion_timestamp") == 7
+            assert not any("max(struct" in p for p in seen)
+        late = datetime(2025, 3, 1)
+        rows = [("b0", "p", "AAPL", "BUY", 1.0, 1.0, late), ("s0", "p", "AAPL", "SELL", 2.0, 1.0, day(6)), ("n", "p", "X", "BUY", 3.0, 1.0, day(6))]
+        again = trades(spark, [*rows, ("s0", "p", "AAPL", "SELL", 9.0, 1.0, day(5))])
+        for _ in range(2):
+            assert table.upsert(spark, again, "ingestion_timestamp") == 3
+            got = {r.transaction_id: (float(r.quantity), r.transaction_date) for r in table.read(spark).collect()}
+            assert table.read(spark).count() == 8 and set(got) == {"b0", "b1", "b2", "b3", "b4", "s0", "s1", "n"}
+            assert (got["b0"], got["s0"], got["n"]) == ((1.0, late), (2.0, day(6)), (3.0, day(6)))
+            assert (got["b1"], got["s1"]) == ((50.0, day(1)), (10.0, day(5)))
+        fresh = Lake(str(tmp_path / f"{grain}-repeats"), grain)["transactions"]
+        assert fresh.upsert(spark, again, "ingestion_timestamp") == 3
+        assert {float(r.quantity) for r in fresh.read(spark).collect()} == {1.0, 2.0, 3.0}
+        assert [p.name for p in (tmp_path / f"{grain}-repeats").iterdir()] == ["transactions"]
