@@ -148,7 +148,7 @@ def weighted_holdings(
         F.col("_rank").alias("rank"),
         F.col("transaction_type").alias("kind"),
         F.col("quantity").cast(UNITS).alias("quantity"),
-        F.col("price").cast("double").alias("price"),
+        F.col("price").alias("price"),
         F.coalesce(change, nothing).alias("change"),
     )
     block = [*POSITION, "_bucket", "_chunk"]
@@ -162,7 +162,7 @@ def weighted_holdings(
             "transaction_id",
             "transaction_type",
             "quantity",
-            "price",
+            F.col("price").cast("double").alias("price"),
             F.date_trunc(bucket, F.col("transaction_date")).alias("_bucket"),
         )
         .where(F.col("_bucket").isNotNull())

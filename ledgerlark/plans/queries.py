@@ -290,13 +290,16 @@ def equal_allocation(spark, sf):
 
 @query
 def portfolio_metrics(spark, sf):
-    held, prices = _holdings(spark, sf), data.stock_prices(spark, sf)
+    # Positions, daily values and realised gains all start from the trades and closes, which are joined once.
+    trades = stored(spark, data.transactions(spark, sf).drop("commission", "ingestion_timestamp"), "trades")
+    prices = stored(spark, _closes(spark, sf), "closes")
+    held = holdings.net_holdings(trades)
     values = valuation.portfolio_value(valuation.position_values(held, prices), data.portfolios(spark, sf))
-    values_by_day = stored(spark, _daily_values(spark, sf), "daily-values")
+    values_by_day = stored(spark, daily.daily_values(trades, prices, FIRST_DAY, LAST_DAY), "daily-values")
     falls = drawdown.max_drawdown(values_by_day, ["portfolio_id"], "day", "total_value")
     risks = risk.risk_metrics(held, prices, series=DAILY_BARS, drawdowns=falls, portfolios=data.portfolios(spark, sf))
     realized = (
-        holdings.weighted_holdings(data.transactions(spark, sf), bucket="month", keep_closed=True)
+        holdings.weighted_holdings(trades, bucket="month", keep_closed=True)
         .groupBy("portfolio_id")
         .agg(F.sum("realized_gain").alias("realized_gains"))
     )

@@ -8,6 +8,8 @@ import pytest
 from helpers import day, plan, prices, trades
 
 from ledgerlark.operators import blocks, currency, daily, drawdown, recursive, risk, valuation
+from ledgerlark.plans import queries
+from ledgerlark.sources import fixtures as data
 
 
 @pytest.fixture(scope="module")
@@ -167,3 +169,12 @@ def test_pooled_deviation_of_large_means(spark):
     held = spark.createDataFrame([("p", "A"), ("p", "B")], "portfolio_id string, stock_symbol string")
     got = risk.risk_metrics(held, df).first().volatility / 100
     assert got == pytest.approx((4 * 0.25 / 3) ** 0.5, rel=1e-6)
+
+
+def test_portfolio_metrics_joins_trades_and_closes_once(spark, sf_dir, monkeypatch):
+    made = []
+    for name in ("transactions", "stock_prices"):
+        build = getattr(data, name)
+        monkeypatch.setattr(data, name, lambda *a, n=name, f=build: made.append(n) or f(*a))
+    assert queries.QUERIES["portfolio_metrics"](spark, sf_dir).count() == 26
+    assert sorted(made) == ["stock_prices", "transactions"]
