@@ -77,7 +77,8 @@ def asof_join(
     Of right rows at one time the one with the greatest ``values`` counts. Both sides are sorted together by key
     and time; a key with more than ``block_rows`` rows is cut at quantiles of its time, and each block
     starts from the last right row of the blocks before it, so a key that holds all rows is spread over all
-    tasks. Right rows without a time match nothing, left rows without one get NULL, and null keys don't meet.
+    tasks. Both sides are written once, so that counting, cutting and matching don't compute them again each. Right rows
+    without a time match nothing, left rows without one get NULL, and null keys don't meet.
     """
     payload = F.struct(*[F.col(c).alias(out) for out, c in values.items()])
     lefts = left.withColumn("_time", F.col(left_order)).withColumn("_side", F.lit(2))
@@ -86,6 +87,7 @@ def asof_join(
         rights = rights.where(F.col(key).isNotNull())
     # Side orders equal times: right rows, then left rows.
     both = lefts.unionByName(rights.withColumn("_side", F.lit(1)), allowMissingColumns=True)
+    both = stored(left.sparkSession, both, "asof-sides")
     placed, cut = cut_into_blocks(left.sparkSession, both, keys, "_time", block_rows)
     so_far = Window.partitionBy(*keys, "_block").orderBy("_time", "_side", "_found").rowsBetween(
         Window.unboundedPreceding, Window.currentRow

@@ -5,6 +5,8 @@ from datetime import datetime, timedelta
 import pytest
 from helpers import day, plan, prices
 
+from pyspark.sql import functions as F
+
 from ledgerlark.operators import indicators, latest, risk
 from ledgerlark.operators.series import DAILY_BARS, Series
 
@@ -157,6 +159,21 @@ def test_asof_join_by_brute_force(spark, walk, block_rows):
         assert (seen is None) if want is None else (seen == want[0] and float(found) == want[1])
 
 
+def test_asof_join_computes_its_sides_once(spark, walk):
+    """However many blocks there are, each input row is computed once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(symbol):
+        seen.add(1)
+        return symbol
+
+    left = spark.createDataFrame([(s, at) for s, at, _ in walk], "stock_symbol string, at timestamp")
+    left = left.withColumn("stock_symbol", F.udf(counted)("stock_symbol"))
+    found = latest.asof_join(left, prices(spark, walk), ["stock_symbol"], "at", "timestamp", {"seen": "timestamp"}, 50)
+    assert all(r["at"] == r["seen"] for r in found.collect())
+    assert seen.value == len(walk)
+
+
 @pytest.mark.parametrize("bucket", [None, "day", "month"])
 def test_latest_n(spark, walk, bucket):
     rows = latest.latest_n(prices(spark, walk), 7, bucket=bucket).collect()
