@@ -70,9 +70,21 @@ def cut_into_blocks(
     cuts = cuts.select(*names, F.filter("__all", lambda x, i: (i + 1) % F.col("__step") == 0).alias("__cuts"))
     cuts = stored(spark, cuts.withColumn("__cuts", F.array_distinct("__cuts")), "cuts")
     small = F.broadcast(cuts) if found <= BROADCAST_ROWS else cuts
-    passed = F.filter("__cuts", lambda x: x < F.col(order))
     placed = rows.join(small, condition, "left")
-    return placed.withColumn(block, F.coalesce(F.size(passed), F.lit(0))).drop(*names, "__cuts"), True
+    return placed.withColumn(block, F.coalesce(_passed(F.col("__cuts"), F.col(order)), F.lit(0))).drop(*names, "__cuts"), True
+
+
+def _passed(cuts: Column, value: Column) -> Column:
+    """How many of the ascending ``cuts`` are less than ``value`` (0 for a null one), by bisection: each of the steps looks at
+    one cut, however many there are."""
+
+    def step(at: Column, width: Column) -> Column:
+        ahead = at + width
+        return F.when((ahead <= F.size(cuts)) & (F.get(cuts, ahead - 1) < value), ahead).otherwise(at)
+
+    widths = [2**i for i in reversed(range((GRID - 1).bit_length()))]
+    passed = F.aggregate(F.array(*[F.lit(w) for w in widths]), F.lit(0), step)
+    return F.when(cuts.isNotNull(), passed)
 
 
 def before_block(

@@ -7,6 +7,8 @@ from datetime import date, datetime, timedelta
 import pytest
 from helpers import day, plan, prices, trades
 
+from pyspark.sql import functions as F
+
 from ledgerlark.operators import blocks, currency, daily, drawdown, recursive, risk, valuation
 from ledgerlark.plans import queries
 from ledgerlark.sources import fixtures as data
@@ -171,6 +173,21 @@ def test_pooled_deviation_of_large_means(spark):
     assert got == pytest.approx((4 * 0.25 / 3) ** 0.5, rel=1e-6)
 
 
+def test_rows_find_their_block_by_bisection(spark):
+    """The block equals the number of cuts below a value, for any number of cuts, and no cut list is filtered per row."""
+    lists = [None, [], [1.0], [1.0, 2.0], [float(i) for i in range(13)], [i / 2 for i in range(blocks.GRID - 1)]]
+    values = [None, -1.0, 0.0, 0.5, 1.0, 1.5, 12.0, 1022.9, 1023.0, 5000.0, float("nan")]
+    rows = spark.createDataFrame([(c, v) for c in lists for v in values], "cuts array<double>, v double")
+    slow = F.size(F.filter("cuts", lambda x: x < F.col("v")))
+    got = rows.select(blocks._passed(F.col("cuts"), F.col("v")).alias("fast"), F.when(F.col("cuts").isNotNull(), slow).alias("slow")).collect()
+    assert len(got) == len(lists) * len(values) and all(r.fast == r.slow for r in got)
+    series = spark.range(3_000).select(F.lit("a").alias("k"), F.col("id").cast("double").alias("v"))
+    placed = blocks.in_blocks(spark, series, ["k"], "v", 100)
+    assert "filter(__cuts" not in plan(placed)
+    sizes = [r["count"] for r in placed.groupBy("_block").count().collect()]
+    assert sum(sizes) == 3_000 and len(sizes) >= 25 and max(sizes) <= 200
+
+
 def test_portfolio_metrics_joins_trades_and_closes_once(spark, sf_dir, monkeypatch):
     made = []
     for name in ("transactions", "stock_prices"):
