@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlark.functions.scratch import scratch_dir
 from ledgerlark.llm.graph import clusters, written
 from ledgerlark.llm.text import Minima, factors, mixed, shingle_sets
+from ledgerlark.sources.tables import drop_folder
 
 BANDS, ROWS = 64, 6
 MANTISSA_BITS = 10
@@ -143,7 +145,9 @@ def near_copies(
     doc_id is their component's smallest. Columns other than the two named are ignored. Empty input
     gives no rows.
     """
-    sketched = written(spark, sketches(docs, doc_id, text), "sketches")
+    folder = scratch_dir(spark, "sketches")
+    sketches(docs, doc_id, text).write.parquet(folder)
+    sketched = spark.read.schema(SKETCH).parquet(folder)
     usable = sketched.where("doc_id is not null and node is not null")
     nodes = written(
         spark,
@@ -154,6 +158,9 @@ def near_copies(
         ),
         "nodes",
     )
+    # From here on registers are read by node, so those by document need no disk.
+    sketched = written(spark, sketched.select("doc_id", "n_shingles", "node"), "members")
+    drop_folder(spark, folder)
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     joined = clusters(
         spark,
