@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.graph import clusters, open_pairs, written
+from ledgerlark.llm.graph import FEW, clusters, open_pairs, written
 
 
 def alike(x, y, percent):
@@ -59,3 +59,42 @@ def test_family_of_thousands_makes_few_pairs(spark):
     near = {n for n, s in sets.items() if alike(s, origin, 75)}
     assert {r.node for r in found} == near - {0} and {r.component for r in found} == {0}
     assert sum(compared) < 12 * len(sets)
+
+
+@pytest.mark.parametrize("once", [False, True])
+def test_few_nodes_of_a_key_are_compared_without_their_elements(spark, once):
+    """Keys of two nodes are done after one pair, keys of up to FEW after all; only larger ones need sets."""
+    rnd = random.Random(7)
+    origin = set(range(100))
+    sets, rows = {}, []
+    for key in range(60):
+        size = rnd.choice((2, 2, 3, 4, FEW))
+        for node in range(10 * key, 10 * key + size):
+            gone = rnd.sample(range(100), rnd.choice((5, 11, 30)))
+            sets[node] = (origin - set(gone)) | {10_000 + 100 * node + i for i in range(len(gone))}
+            rows += [(key, node)] * (1 + once * rnd.randrange(3))
+    sets[999], rows = {1}, rows + [(99, 999)] * (1 + 2 * once)
+    table = written(spark, spark.createDataFrame([(n, sorted(s)) for n, s in sets.items()], "node long, hashes array<long>"), "sets")
+    asked = []
+
+    def confirm(pairs):
+        pairs = written(spark, pairs, "pairs")
+        met = pairs.join(table.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a")
+        met = met.join(table.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
+        common = F.size(F.array_intersect("x", "y"))
+        return written(spark, met.where(100 * common >= 80 * (F.size("x") + F.size("y") - common)).select("a", "b"), "links")
+
+    def wanted_sets(wanted):
+        asked.append(wanted.count())
+        return table.join(wanted, "node")
+
+    found = clusters(spark, spark.createDataFrame(rows, "key long, node long"), confirm, wanted_sets, 80, once=once)
+    got = {r.node: r.component for r in found.collect()}
+    part = {n: n for n in sets}
+    for _ in sets:
+        for a in sets:
+            for b in range(a // 10 * 10, a):
+                if b in sets and alike(sets[a], sets[b], 80):
+                    part[a] = part[b] = min(part[a], part[b])
+    assert {n: got.get(n, n) for n in sets} == part and any(n != p for n, p in part.items())
+    assert sum(asked) == 0
