@@ -70,6 +70,8 @@ class Shard:
         self.start = np.searchsorted(place, np.arange(len(wanted) + 1))
         block = row // BLOCK
         first = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (block[1:] != block[:-1])])[: len(place)])
+        # Postings of a term in a block lie from one entry of ``first`` to the next.
+        self.first = np.append(first, len(row))
         self.block, self.most = block[first], np.maximum.reduceat(self.impact, first) if len(first) else self.impact
         self.head = np.searchsorted(place[first], np.arange(len(wanted) + 1))
         self.blocks = -(-len(ids) // BLOCK)
@@ -77,39 +79,44 @@ class Shard:
     def top(self, terms: np.ndarray, weights: np.ndarray, query: int, k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
         """(places, scores) of documents that may be among the k best and score at least ``least``.
 
-        Blocks are bounded by the sum of their largest impacts. Those with the highest bounds are scored
-        first, their k-th score raises the threshold, and only blocks whose bound reaches it are scored.
+        Blocks are bounded by the sum of their largest impacts. Postings are read only in blocks whose bound reaches
+        the threshold, each of them once.
         """
         spans, owner = ranges(self.head[terms], self.head[terms + 1])
         bound = np.bincount(self.block[spans], self.most[spans] * weights[owner], minlength=self.blocks)
-        spans, owner = ranges(self.start[terms], self.start[terms + 1])
-        row, gain = self.row[spans], self.impact[spans] * weights[owner]
-        if not len(row):
+        # Bounds and scores are sums in different orders; the margin covers their rounding.
+        chosen = (bound > 0) & (bound * (1 + 1e-9) >= least)
+        if not chosen.any():
             return np.empty(0, np.int64), np.empty(0)
-        score = np.zeros(len(self.ids))
-        done = np.zeros(self.blocks, dtype=bool)
-        sequence = np.argsort(-bound, kind="stable")
-        for part in (sequence[: max(1, k // 4)], sequence[max(1, k // 4) :]):
-            chosen = np.zeros(self.blocks, dtype=bool)
-            # Bounds and scores are sums in different orders; the margin covers their rounding.
-            chosen[part[bound[part] * (1 + 1e-9) >= least]] = True
-            if not chosen.any():
-                continue
-            here = slice(None) if chosen.all() else chosen[row // BLOCK]
-            score += np.bincount(row[here], gain[here], minlength=len(self.ids))
-            done |= chosen
-            alive = score[(score > 0) & (self.ids != query)]
-            if len(alive) >= k:
-                least = max(least, float(np.partition(alive, len(alive) - k)[len(alive) - k]))
-        places = np.flatnonzero((score > 0) & (score >= least) & (self.ids != query))
+        starts, ends = self.start[terms], self.start[terms + 1]
+        if 2 * chosen.sum() < self.blocks:
+            here = chosen[self.block[spans]]
+            spans, weights = spans[here], weights[owner[here]]
+            starts, ends = self.first[spans], self.first[spans + 1]
+        postings = places_in(starts, ends)
+        gain = self.impact[postings]
+        gain *= np.repeat(weights, ends - starts)
+        score = np.bincount(self.row[postings], gain, minlength=len(self.ids))
+        score[self.ids == query] = 0
+        alive = score[score > 0]
+        if len(alive) >= k:
+            least = max(least, float(np.partition(alive, len(alive) - k)[len(alive) - k]))
+        places = np.flatnonzero((score > 0) & (score >= least))
         return places, score[places]
 
 
 def ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(indices of all ranges one after the other, number of the range of each)."""
+    return places_in(starts, ends), np.repeat(np.arange(len(starts)), ends - starts)
+
+
+def places_in(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The indices of all ranges one after the other."""
     sizes = ends - starts
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    return np.arange(len(owner)) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes), owner
+    before = np.cumsum(sizes) - sizes
+    places = np.repeat(starts - before, sizes)
+    places += np.arange(len(places))
+    return places
 
 
 def search(
