@@ -419,7 +419,8 @@ def search(
     schema = "query_id long, doc_id long, score double"
     found = spark.createDataFrame([], schema)
     wanted = spark.sparkContext.broadcast(term_filter(asked))
-    indexes = written(spark, index(rows, wanted), "index")
+    # Pages are as large as a shard's columns: uncompressed, as Snappy keeps buffers of their size beside the heap.
+    indexes = written(spark, index(rows, wanted), "index", "uncompressed")
     wanted.destroy()
     shards, count, words = indexes.agg(F.count("*"), F.sum("docs"), F.sum("words")).first()
     frequencies = document_frequencies(indexes).join(asked.select("term").distinct(), "term")

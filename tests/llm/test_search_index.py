@@ -59,7 +59,7 @@ def test_tiles_equal_brute_force(monkeypatch, common):
     row, term = np.nonzero(count[asked])
     weight = count[asked][row, term] * idf[term]
     laid_out = text_search.laid_out(ids[asked][row], hashed[term].view(np.int64), weight, df[term], 150)
-    assert len(laid_out[-1]) == min(common, len(laid_out[-1])) and (common or not len(laid_out[-1]))
+    assert len(laid_out[-1]) <= common
     queries = text_search.Queries(*[laid_out[i] for i in (1, 0, 2, 3, 4, 5)], np.zeros(len(asked)), 5)
     postings = 0
     for at in range(0, 150, 50):
@@ -71,7 +71,7 @@ def test_tiles_equal_brute_force(monkeypatch, common):
         queries.ask(shard)
     # Copies beyond those that can be among the best are not searched.
     assert postings < (count[:, df > 0] > 0).sum() - 20 * (count[20] > 0).sum()
-    assert queries.names.tolist() != [] and sorted(queries.names) == sorted(ids[asked])
+    assert sorted(queries.names) == sorted(ids[asked])
     for name, found, scores in zip(queries.names, queries.ids, queries.scores):
         score = np.where(ids == name, 0, impact @ (count[asked[ids[asked] == name][0]] * idf))
         best = [i for i in np.lexsort((ids, -score.round(9)))[:5] if score[i] > 0]
