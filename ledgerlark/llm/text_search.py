@@ -417,7 +417,7 @@ def search(
     asked = rows.where(is_query).groupBy("doc_id").agg(F.min("text").alias("text"))
     asked = written(spark, query_terms(asked), "query_terms")
     schema = "query_id long, doc_id long, score double"
-    found = spark.createDataFrame([], schema)
+    best = spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
     wanted = spark.sparkContext.broadcast(term_filter(asked))
     # Pages are as large as a shard's columns: uncompressed, as Snappy keeps buffers of their size beside the heap.
     indexes = written(spark, index(rows, wanted), "index", "uncompressed")
@@ -438,7 +438,7 @@ def search(
             continue
         names, *asking = laid_out(*(block.column(i).to_numpy() for i in range(4)), count)
         del block
-        least = np.zeros(len(names))
+        least, found = np.zeros(len(names)), spark.createDataFrame([], schema)
         for part in [early, ~early] if shards >= 2 * FIRST else [F.lit(True)]:
             shared = spark.sparkContext.broadcast((names, *asking, least))
             answers = written(spark, indexes.where(part).mapInArrow(answered(shared, words / count, k), schema), "found")
@@ -448,7 +448,10 @@ def search(
                 last = answers.withColumn("rank", ranked).where(F.col("rank") == k).select("query_id", "score").toArrow()
                 order = np.argsort(names)
                 least[order[np.searchsorted(names, last.column(0).to_numpy(), sorter=order)]] = last.column(1).to_numpy()
-    return found.withColumn("rank", ranked).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
+        # Merged block by block: a merge of all at the end sorts every task's results of every block in one stage.
+        found = found.withColumn("rank", ranked).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
+        best = best.union(written(spark, found, "best"))
+    return best
 
 
 def laid_out(query: np.ndarray, term: np.ndarray, weight: np.ndarray, df: np.ndarray, count: int) -> tuple[np.ndarray, ...]:
